@@ -18,6 +18,7 @@ from cellframe.session import write_through
 EDGES_PER_TASK = 4_000_000
 ALPHA = 0.85
 ITERATIONS = 10
+POOL = -(2 ** 63)  # no graph uses this id
 
 
 def graph_stats(g: CooMatrix) -> DataFrame:
@@ -66,98 +67,106 @@ def dangling_nodes(g: CooMatrix, nodes: str = "range") -> DataFrame:
     return _nodes(g, nodes).join(g.df.select("i").distinct(), "i", "left_anti")
 
 
-def _cuts(degree: str) -> Column:
-    return F.ceil(F.col(degree) / F.lit(EDGES_PER_TASK)).cast("int")
-
-
 @dataclass
 class _Walk:
-    """The tables a walk reads in every step, and the number of nodes."""
+    """PageRank as a plain product: r' = base + W^T r over the nodes and one more, the pool.
+
+    The pool stands for the rank held by dangling nodes, which every node gets an even share of in the
+    next turn. It is a node like any other: a link that ends in a dangling node also adds to the
+    pool, and the pool links to all nodes. So a turn is one join and one grouped sum, with no
+    number to fetch first.
+    """
 
-    links: DataFrame  # <i, cut, j, w>: merged edges, hashed by (source, cut)
-    nodes: DataFrame  # <i, degree>: every node, degree 0 when dangling
+    nodes: DataFrame  # <i, v, base, cuts>: start value, constant part, and cuts of the node's links
+    links: DataFrame  # <i, cut, j, w>, alpha included
     n: int
 
 
-def _prepare(g: CooMatrix, nodes: str, keep: bool) -> _Walk:
-    """Merge repeated edges and weigh them; with ``keep``, lay them out by source once for all steps.
+def _prepare(g: CooMatrix, alpha: float, nodes: str) -> _Walk:
+    """Merge repeated edges, weigh them, and add the pool.
 
-    A source with more than EDGES_PER_TASK edges is cut by a hash of the target, so no task holds
-    all of a hub; its rank is then sent to each cut.
+    A source with more than EDGES_PER_TASK links is cut by a hash of the target, so that no task
+    holds all of a hub; the hub's rank is then sent once per cut.
     """
-    degree = out_degree(g)
-    node_table = (
-        _nodes(g, nodes).join(degree, "i", "left")
-        .select("i", F.coalesce("degree", F.lit(0)).alias("degree"))
-    )
-    merged = g.df.groupBy("i", "j").agg(F.count("*").alias("copies"))
-    links = merged.join(degree, "i").select(
-        "i", F.pmod(F.xxhash64("j"), _cuts("degree")).cast("int").alias("cut"), "j",
-        (F.col("copies") / F.col("degree")).alias("w"),
-    )
+    spark = g.df.sparkSession
+    merged = write_through(g.df.groupBy("i", "j").agg(F.count("*").alias("copies")), "edges")
+    edges = CooMatrix(merged, g.n_rows, g.n_cols)
+    degree = merged.groupBy("i").agg(F.sum("copies").alias("degree"), F.count("*").alias("fan"))
+    known = _nodes(edges, nodes).join(degree, "i", "left").select("i", F.coalesce("fan", F.lit(0)).alias("fan"))
+    known = known.persist(StorageLevel.MEMORY_AND_DISK)
+    count = known.agg(F.count("*").alias("n"), F.count_if(F.col("fan") == 0).alias("dangling")).first()
+    n, dangling = count.n, count.dangling
+    if n == 0:
+        raise ValueError("PageRank needs at least one node")
+
+    def cuts(fan: Column) -> Column:
+        return F.ceil(fan / F.lit(EDGES_PER_TASK)).cast("int")
+
+    weight = F.lit(alpha) * F.col("copies") / F.col("degree")
+    steps = merged.join(degree, "i").select("i", cuts(F.col("fan") + 1).alias("cuts"), "j", weight.alias("w"))
     if nodes == "range":
-        links = links.where(F.col("j").between(0, g.n_rows - 1))
-    if keep:
-        node_table = node_table.persist(StorageLevel.MEMORY_AND_DISK)
-        links = links.repartition("i", "cut").persist(StorageLevel.MEMORY_AND_DISK)
-    return _Walk(links, node_table, g.n_rows if nodes == "range" else node_table.count())
-
-
-def _start(walk: _Walk) -> DataFrame:
-    return walk.nodes.select("i", "degree", F.lit(1.0 / walk.n).alias("v"))
-
+        steps = steps.where(F.col("j").between(0, n - 1))
+    ends = known.where("fan = 0").select(F.col("i").alias("j"))
+    to_pool = steps.join(ends, "j", "left_semi").groupBy("i", "cuts").agg(F.sum("w").alias("w")).select(
+        "i", "cuts", F.lit(POOL).alias("j"), "w")
+    pool_cuts = max(1, -(-(n + 1) // EDGES_PER_TASK))
+    targets = known.select("i", F.lit(1).alias("share")).unionByName(
+        spark.range(1).select(F.lit(POOL).alias("i"), F.lit(dangling).alias("share")))
+    from_pool = targets.select(
+        F.lit(POOL).alias("i"), F.lit(pool_cuts).alias("cuts"), F.col("i").alias("j"),
+        (F.lit(alpha) * F.col("share") / F.lit(float(n))).alias("w"))
+    links = steps.unionByName(to_pool).unionByName(from_pool).select(
+        "i", F.pmod(F.xxhash64("j"), "cuts").cast("int").alias("cut"), "j", "w")
+    # A dangling node has no links, so it has no cut to send its rank to.
+    rest = (1.0 - alpha) / n
+    table = known.select(
+        "i", F.lit(1.0 / n).alias("v"), F.lit(rest).alias("base"),
+        F.when(F.col("fan") > 0, cuts(F.col("fan") + 1)).otherwise(F.lit(0)).alias("cuts"))
+    pool = spark.range(1).select(
+        F.lit(POOL).alias("i"), F.lit(dangling / n).alias("v"), F.lit(rest * dangling).alias("base"),
+        F.lit(pool_cuts).alias("cuts"))
+    return _Walk(table.unionByName(pool), links, n)
+
+
+def _turn(walk: _Walk, state: DataFrame) -> DataFrame:
+    """One turn on ``<i, v, cuts>``. The constant part of each node enters the grouped sum as a row,
+    which also keeps the nodes that nothing links to."""
+    sent = state.where("cuts > 0").select(
+        "i", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), "v")
+    flow = walk.links.join(sent, ["i", "cut"]).select(
+        F.col("j").alias("i"), (F.col("w") * F.col("v")).alias("v"), F.lit(0).alias("cuts"))
+    base = walk.nodes.select("i", F.col("base").alias("v"), "cuts")
+    return flow.unionByName(base).groupBy("i").agg(F.sum("v").alias("v"), F.max("cuts").alias("cuts"))
 
-def _step(walk: _Walk, state: DataFrame, alpha: float) -> DataFrame:
-    """One turn on ``<i, degree, v>``: follow the links, then add what every node gets alike.
 
-    The rank of dangling nodes is spread over all nodes. Its sum is one number and the only thing
-    that passes the driver. Nodes without an incoming edge enter the grouped sum as zeros.
-    """
-    lost = state.where("degree = 0").agg(F.coalesce(F.sum("v"), F.lit(0.0))).first()[0]
-    shared = (1.0 - alpha) / walk.n + alpha * lost / walk.n
-    sent = state.where("degree > 0").select(
-        "i", F.explode(F.sequence(F.lit(0), _cuts("degree") - 1)).alias("cut"), "v")
-    flow = walk.links.join(sent, ["i", "cut"]).select(
-        F.col("j").alias("i"), (F.col("w") * F.col("v")).alias("y"), F.lit(0).cast("bigint").alias("degree"))
-    everyone = walk.nodes.select("i", F.lit(0.0).alias("y"), "degree")
-    return (
-        flow.unionByName(everyone).groupBy("i")
-        .agg(F.max("degree").alias("degree"), (alpha * F.sum("y") + shared).alias("v"))
-    )
+def _ranks(walk: _Walk, state: DataFrame) -> Vector:
+    return Vector(state.where(F.col("i") != POOL).select("i", "v"), walk.n, dense=True, unique=True)
 
 
 def pagerank_step(g: CooMatrix, alpha: float = ALPHA, nodes: str = "range") -> Vector:
     """Ranks after one turn from the uniform start."""
-    walk = _prepare(g, nodes, keep=False)
-    state = _step(walk, _start(walk), alpha)
-    return Vector(state.select("i", "v"), walk.n, dense=True, unique=True)
+    walk = _prepare(g, alpha, nodes)
+    return _ranks(walk, _turn(walk, walk.nodes))
 
 
-def pagerank(g: CooMatrix, iterations: int = ITERATIONS, alpha: float = ALPHA, nodes: str = "range",
-             checkpoint_every: int = 5) -> Vector:
+def pagerank(g: CooMatrix, iterations: int = ITERATIONS, alpha: float = ALPHA, nodes: str = "range") -> Vector:
     """Ranks after a fixed number of turns: r' = alpha M^T r + (1 - alpha)/n + alpha dangling/n.
 
     ``nodes="range"`` takes every id below ``g.n_rows`` as a node; ``"endpoints"`` takes the ids
-    that occur. Each turn is cached, since the next one reads it twice, and every
-    ``checkpoint_every`` turns it is written to the shared folder, so that losing an executor
-    replays a few turns and not the whole walk. The last turn is always written.
+    that occur. The links are laid out by source once. The ranks of each turn, one row per node, are
+    written to the shared folder: every turn is planned from a short plan, and losing an
+    executor replays one turn at most.
     """
-    walk = _prepare(g, nodes, keep=True)
-    state = _start(walk)
-    cached: list[DataFrame] = []
-    for turn in range(1, iterations + 1):
-        state = _step(walk, state, alpha)
-        if turn % checkpoint_every == 0 or turn == iterations:
-            state = write_through(state, "pagerank")
-            while cached:
-                cached.pop().unpersist()
-        else:
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(state)
-    if iterations > 0:
+    walk = _prepare(g, alpha, nodes)
+    walk.links = walk.links.repartition("i", "cut").persist(StorageLevel.MEMORY_AND_DISK)
+    walk.nodes = walk.nodes.persist(StorageLevel.MEMORY_AND_DISK)
+    state = walk.nodes.select("i", "v", "cuts")
+    for _ in range(iterations):
+        state = write_through(_turn(walk, state), "ranks")
+    if iterations:
         walk.links.unpersist()
         walk.nodes.unpersist()
-    return Vector(state.select("i", "v"), walk.n, dense=True, unique=True)
+    return _ranks(walk, state)
 
 
 def total_rank(ranks: Vector) -> DataFrame:

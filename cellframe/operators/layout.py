@@ -27,12 +27,13 @@ def repartition_matrix(m: CooMatrix, n: int, *keys: str) -> CooMatrix:
     return m.with_df(m.df.repartition(n, *keys))
 
 
-def _pack(df: DataFrame, key: str, other: str, max_cells: int) -> DataFrame:
+def _pack(df: DataFrame, key: str, other: str, max_cells: int, longest: int | None) -> DataFrame:
     cell = F.struct(other, "v")
-    longest = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if longest is None:
+        longest = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if longest <= max_cells:
         return df.groupBy(key).agg(
-            F.lit(0).cast("bigint").alias("seg"), F.array_sort(F.collect_list(cell)).alias("cells"),
+            F.lit(0).cast("bigint").alias("seg"), F.sort_array(F.collect_list(cell)).alias("cells"),
         )
     # Some row is too long for one record. Equal cells are counted before they move, the count
     # is cut into runs, and a long row's runs are dealt over segments by hash.
@@ -55,23 +56,24 @@ def _pack(df: DataFrame, key: str, other: str, max_cells: int) -> DataFrame:
         "runs", lambda x: F.array_repeat(F.struct(x[other].alias(other), x["v"].alias("v")), x["len"])))
     return (
         runs.groupBy(key, "seg")
-        .agg(F.array_sort(F.collect_list(F.struct(other, "v", "len"))).alias("runs"))
+        .agg(F.sort_array(F.collect_list(F.struct(other, "v", "len"))).alias("runs"))
         .select(key, "seg", repeated.alias("cells"))
     )
 
 
-def pack_rows(m: CooMatrix, max_cells: int = MAX_CELLS) -> PackedMatrix:
+def pack_rows(m: CooMatrix, max_cells: int = MAX_CELLS, longest: int | None = None) -> PackedMatrix:
     """One record per row, its cells sorted by column, duplicates kept.
 
     A row with more than ``max_cells`` cells is held in several records (``seg`` 0, 1, ...), each
-    sorted, so that no task has to hold an unbounded row.
+    sorted, so that no task has to hold an unbounded row. ``longest`` is the length of the longest
+    row; it is counted when not given.
     """
-    return PackedMatrix(_pack(m.df, "i", "j", max_cells), m.n_rows, m.n_cols, "row", m.unique)
+    return PackedMatrix(_pack(m.df, "i", "j", max_cells, longest), m.n_rows, m.n_cols, "row", m.unique)
 
 
-def pack_cols(m: CooMatrix, max_cells: int = MAX_CELLS) -> PackedMatrix:
+def pack_cols(m: CooMatrix, max_cells: int = MAX_CELLS, longest: int | None = None) -> PackedMatrix:
     """One record per column, its cells sorted by row; see :func:`pack_rows`."""
-    return PackedMatrix(_pack(m.df, "j", "i", max_cells), m.n_rows, m.n_cols, "col", m.unique)
+    return PackedMatrix(_pack(m.df, "j", "i", max_cells, longest), m.n_rows, m.n_cols, "col", m.unique)
 
 
 def unpack(p: PackedMatrix) -> CooMatrix:
@@ -122,5 +124,5 @@ def tensor_fibers(t: CooTensor, target: int, max_cells: int = MAX_CELLS) -> Data
         block = F.expr(f"i{target} div {max_cells}")
     return (
         merge_tensor(t).df.groupBy(*prefix, block.alias("seg"))
-        .agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+        .agg(F.sort_array(F.collect_list(cell)).alias("cells"))
     )

@@ -77,58 +77,62 @@ def _coo_product(a: CooMatrix, b: CooMatrix) -> DataFrame:
     return _sum_cells(fanout.pair_join(spark, _left(a), _right(b), a.unique, b.unique))
 
 
-def _packed_product(cells: DataFrame, packed: DataFrame, inline: str) -> DataFrame | None:
+def _packed_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, side: str) -> DataFrame | None:
     """Join single cells with packed records and open the records after the join.
 
-    A packed record cannot be cut, so the caller takes the coordinate form (None) when one key
+    ``side="right"`` packs B by row, so each cell of A meets a whole row of B; ``side="left"`` packs A
+    by column. A packed record is not cut, so None sends the caller to the coordinate form when one key
     has more pairs than a task should take, or when duplicates ought to be merged first.
     """
-    spark = cells.sparkSession
-    fan = fanout.measure(cells, packed)
-    tasks = fanout.task_count(spark, fan.pairs)
+    left, right = _left(_coo(a)), _right(_coo(b))
+    fan = fanout.measure(left, right)
+    tasks = fanout.task_count(left.sparkSession, fan.pairs)
+    if tasks and (fan.widest > max(fanout.PAIRS_PER_TASK, fan.pairs / tasks)
+                  or fan.pairs_per_cell > fanout.MERGE_RATIO):
+        return None
+    if side == "right":
+        rows = b if isinstance(b, PackedMatrix) and b.axis == "row" else pack_rows(
+            _coo(b), longest=fan.longest_right)
+        cells, packed, opened = left, rows.df.select(F.col("i").alias("k"), "cells"), "(j, vb)"
+    else:
+        cols = a if isinstance(a, PackedMatrix) and a.axis == "col" else pack_cols(
+            _coo(a), longest=fan.longest_left)
+        cells, packed, opened = right, cols.df.select(F.col("j").alias("k"), "cells"), "(i, va)"
     if tasks:
-        if fan.widest > max(fanout.PAIRS_PER_TASK, fan.pairs / tasks):
-            return None
-        if fan.pairs_per_cell > fanout.MERGE_RATIO:
-            return None
-        cells = cells.repartition(tasks, "k")
-        packed = packed.repartition(tasks, "k")
+        cells, packed = cells.repartition(tasks, "k"), packed.repartition(tasks, "k")
     kept = [c for c in cells.columns if c != "k"]
-    return _sum_cells(cells.join(packed, "k").selectExpr(*kept, f"inline(cells) as {inline}"))
+    return _sum_cells(cells.join(packed, "k").selectExpr(*kept, f"inline(cells) as {opened}"))
+
+
+def _coo(m: CooMatrix | PackedMatrix) -> CooMatrix:
+    return unpack(m) if isinstance(m, PackedMatrix) else m
 
 
 def spmm(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, format: str = "coo",
          partitions: int | None = None) -> CooMatrix:
     """C = A B for sparse A and B, by layout; every layout gives the same matrix.
 
-    A cell is present when at least one product fell on it, even if they cancel to 0.0.
-    ``partitions`` fixes the number of join tasks instead of deriving it from the work.
+    "coo" joins cells with cells; "csr" joins cells of A with packed rows of B; "csc" joins packed
+    columns of A with cells of B; "csr_csc" takes A by rows and B by columns, both of which are opened
+    for the join. A cell is present when at least one product fell on it, even if they cancel
+    to 0.0. ``partitions`` fixes the number of join tasks instead of deriving it from the work.
     """
     if format not in FORMATS:
         raise ValueError(f"unknown format {format!r} for spmm: use one of {', '.join(FORMATS)}")
     require_compatible(f"spmm ({format})", (a.n_rows, a.n_cols), (b.n_rows, b.n_cols))
-    a_coo = unpack(a) if isinstance(a, PackedMatrix) else a
-    b_coo = unpack(b) if isinstance(b, PackedMatrix) else b
     df = None
     if partitions is not None:
-        left, right = _left(a_coo), _right(b_coo)
+        left, right = _left(_coo(a)), _right(_coo(b))
         df = _sum_cells(left.repartition(partitions, "k").join(right.repartition(partitions, "k"), "k"))
     elif format == "csr":
-        a_cells = unpack(a if isinstance(a, PackedMatrix) else pack_rows(a))
-        b_packed = b if isinstance(b, PackedMatrix) and b.axis == "row" else pack_rows(b_coo)
-        packed = b_packed.df.select(F.col("i").alias("k"), "cells")
-        df = _packed_product(_left(a_cells), packed, "(j, vb)")
+        df = _packed_product(a, b, "right")
     elif format == "csc":
-        a_packed = a if isinstance(a, PackedMatrix) and a.axis == "col" else pack_cols(a_coo)
-        b_cells = unpack(b if isinstance(b, PackedMatrix) else pack_cols(b))
-        packed = a_packed.df.select(F.col("j").alias("k"), "cells")
-        df = _packed_product(_right(b_cells), packed, "(i, va)")
+        df = _packed_product(a, b, "left")
     elif format == "csr_csc":
-        a_cells = unpack(a if isinstance(a, PackedMatrix) else pack_rows(a))
-        b_cells = unpack(b if isinstance(b, PackedMatrix) else pack_cols(b))
-        df = _coo_product(a_cells, b_cells)
+        a = a if isinstance(a, PackedMatrix) else pack_rows(a)
+        b = b if isinstance(b, PackedMatrix) else pack_cols(b)
     if df is None:
-        df = _coo_product(a_coo, b_coo)
+        df = _coo_product(_coo(a), _coo(b))
     return CooMatrix(df, a.n_rows, b.n_cols, unique=True)
 
 
@@ -162,7 +166,7 @@ def sum_rows(df: DataFrame, key: str, terms, width: int) -> DataFrame:
     return (
         df.select(key, F.posexplode(values).alias("r", "v"))
         .groupBy(key, "r").agg(F.sum("v").alias("v"))
-        .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("r", "v"))).alias("cells"))
+        .groupBy(key).agg(F.sort_array(F.collect_list(F.struct("r", "v"))).alias("cells"))
         .select(key, F.transform("cells", lambda c: c["v"]).alias("row"))
     )
 

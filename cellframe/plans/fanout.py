@@ -34,6 +34,8 @@ class FanOut:
     right_cells: int
     pairs: float
     widest: float
+    longest_left: int
+    longest_right: int
     per_key: DataFrame
 
     @property
@@ -42,24 +44,19 @@ class FanOut:
 
 
 def measure(left: DataFrame, right: DataFrame) -> FanOut:
-    """Count cells per key on both sides (``k`` and, on a packed side, ``cells``)."""
-
-    def tagged(df: DataFrame, is_left: bool) -> DataFrame:
-        n = F.size("cells").cast("bigint") if "cells" in df.columns else F.lit(1).cast("bigint")
-        zero = F.lit(0).cast("bigint")
-        return df.select("k", (n if is_left else zero).alias("l"), (zero if is_left else n).alias("r"))
-
+    """Count the cells per key ``k`` on both sides, in one small job."""
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     per_key = (
-        tagged(left, True).unionByName(tagged(right, False))
+        left.select("k", one.alias("l"), zero.alias("r"))
+        .unionByName(right.select("k", zero.alias("l"), one.alias("r")))
         .groupBy("k").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     )
     pairs = F.col("l").cast("double") * F.col("r")
     row = per_key.agg(
-        F.coalesce(F.sum("l"), F.lit(0)).alias("l"), F.coalesce(F.sum("r"), F.lit(0)).alias("r"),
-        F.coalesce(F.sum(pairs), F.lit(0.0)).alias("pairs"),
-        F.coalesce(F.max(pairs), F.lit(0.0)).alias("widest"),
-    ).first()
-    return FanOut(int(row.l), int(row.r), float(row.pairs), float(row.widest), per_key)
+        F.sum("l").alias("l"), F.sum("r").alias("r"), F.sum(pairs).alias("pairs"), F.max(pairs).alias("widest"),
+        F.max("l").alias("max_l"), F.max("r").alias("max_r"),
+    ).na.fill(0).first()
+    return FanOut(row.l, row.r, row.pairs, row.widest, row.max_l, row.max_r, per_key)
 
 
 def task_count(spark: SparkSession, pairs: float) -> int:

@@ -19,28 +19,38 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._sizes: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-    @cached_property
-    def _dims(self) -> dict[str, int]:
-        """Sizes of the id ranges, in one job."""
-        ranges = [
-            self.lines.select(F.lit("month").alias("name"), F.col("month").alias("id")),
-            self.table("part").select(F.lit("part").alias("name"), F.col("p_partkey").alias("id")),
-            self.table("supplier").select(F.lit("supplier").alias("name"), F.col("s_suppkey").alias("id")),
-            self.table("customer").select(F.lit("customer").alias("name"), F.col("c_custkey").alias("id")),
-            self.table("embeddings").select(F.lit("vector").alias("name"), F.col("vec_id").alias("id")),
-            self.table("embeddings").select(F.lit("label").alias("name"), F.col("label").alias("id")),
-        ]
-        union = ranges[0]
-        for r in ranges[1:]:
-            union = union.unionByName(r)
-        return {r["name"]: r["n"] for r in union.groupBy("name").agg((F.max("id") + 1).alias("n")).collect()}
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
+
+    def sizes(self, *names: str) -> tuple[int, ...]:
+        """Sizes of id ranges (largest id + 1), those not yet known in one job."""
+        missing = [n for n in names if n not in self._sizes]
+        if missing:
+            ids = [self._ids(n).select(F.lit(n).alias("name"), F.col("id").cast("bigint")) for n in missing]
+            union = ids[0]
+            for more in ids[1:]:
+                union = union.unionByName(more)
+            for row in union.groupBy("name").agg((F.max("id") + 1).alias("n")).collect():
+                self._sizes[row["name"]] = row["n"]
+        return tuple(self._sizes[n] for n in names)
+
+    def _ids(self, name: str) -> DataFrame:
+        if name == "month":
+            return self.lines.select(F.col("month").alias("id"))
+        table, column = {
+            "part": ("part", "p_partkey"), "supplier": ("supplier", "s_suppkey"),
+            "customer": ("customer", "c_custkey"), "vector": ("embeddings", "vec_id"),
+            "label": ("embeddings", "label"),
+        }[name]
+        return self.table(table).select(F.col(column).alias("id"))
 
     def size(self, name: str) -> int:
-        return self._dims[name]
+        return self.sizes(name)[0]
 
     @property
     def lines(self) -> DataFrame:
@@ -56,12 +66,12 @@ class Tables:
     @cached_property
     def a(self) -> CooMatrix:
         """Supplier x part, quantities, with duplicates."""
-        return self._matrix("l_suppkey", "l_partkey", self.size("supplier"), self.size("part"))
+        return self._matrix("l_suppkey", "l_partkey", *self.sizes("supplier", "part"))
 
     @cached_property
     def b(self) -> CooMatrix:
         """Part x month."""
-        return self._matrix("l_partkey", "month", self.size("part"), self.size("month"))
+        return self._matrix("l_partkey", "month", *self.sizes("part", "month"))
 
     @cached_property
     def c_raw(self) -> CooMatrix:
@@ -115,14 +125,14 @@ class Tables:
         """Label x embedding, 1.0 where the embedding has the label."""
         return CooMatrix(self.table("embeddings").select(
             F.col("label").cast("bigint").alias("i"), F.col("vec_id").alias("j"), F.lit(1.0).alias("v")),
-            self.size("label"), self.size("vector"), unique=True)
+            *self.sizes("label", "vector"), unique=True)
 
     @cached_property
     def tensor3(self) -> CooTensor:
         """Supplier x part x month."""
         df = self.lines.select(F.col("l_suppkey").alias("i0"), F.col("l_partkey").alias("i1"),
                                F.col("month").alias("i2"), F.col("l_quantity").alias("v"))
-        return CooTensor(df, (self.size("supplier"), self.size("part"), self.size("month")))
+        return CooTensor(df, self.sizes("supplier", "part", "month"))
 
     @cached_property
     def tensor4(self) -> CooTensor:
@@ -155,7 +165,7 @@ class Tables:
         A customer points to the supplier of each line item it returned, and a supplier whose
         balance is not negative points to the customer of each line item with flag A.
         """
-        n_suppliers, n_customers = self.size("supplier"), self.size("customer")
+        n_suppliers, n_customers = self.sizes("supplier", "customer")
         orders = self.table("orders").select("o_orderkey", (F.col("o_custkey") + n_suppliers).alias("customer"))
         sold = self.lines.select("l_orderkey", "l_suppkey", "l_returnflag").join(
             orders, F.col("l_orderkey") == F.col("o_orderkey"))

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+CONTROL_AND_SPACE = "".join(chr(c) for c in range(0x21))
 COMMENT = "#"
-CELL_DELIMITER = r"[,\t]"
-ROW_DELIMITER = ","
-TENSOR_DELIMITER = r"[,\s]+"
+CELL_DELIMITERS = ",\t"
+ROW_DELIMITERS = ","
+TENSOR_DELIMITERS = ", \t\n\x0b\f\r"
 INTEGER = r"^[+-]?[0-9]+$"
 ANY_SPECIAL = r"(?i)^[\x00-\x20]*[+-]?(inf|infinity|nan)[\x00-\x20]*$"
 VALID_SPECIAL = r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*$"
@@ -23,7 +23,7 @@ SHAPE_HEADER = r"(?i)^#\s*shape\s*:(.*)$"
 
 
 def trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, EDGES, "")
+    return F.btrim(line, F.lit(CONTROL_AND_SPACE))
 
 
 def is_data(line: Column) -> Column:
@@ -31,15 +31,27 @@ def is_data(line: Column) -> Column:
     return (line != "") & ~F.startswith(line, F.lit(COMMENT))
 
 
-def fields(line: Column, delimiter: str) -> Column:
+def fields(line: Column, delimiters: str) -> Column:
     """Split, without trailing empty fields."""
-    body = F.regexp_replace(line, f"(?:{delimiter})+$", "")
-    return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, delimiter))
+    body = F.rtrim(line, F.lit(delimiters))
+    return F.when(body == "", F.array().cast("array<string>")).otherwise(_split(body, delimiters))
 
 
-def words(line: Column, delimiter: str) -> Column:
+def words(line: Column, delimiters: str) -> Column:
     """Split, without empty fields."""
-    return F.filter(F.split(line, delimiter), lambda x: x != "")
+    return F.array_remove(_split(line, delimiters), "")
+
+
+def _split(line: Column, delimiters: str) -> Column:
+    """Split on any of the characters; splitting on a single one needs no regular expression."""
+    if len(delimiters) > 1:
+        line = F.translate(line, delimiters, delimiters[0] * len(delimiters))
+    return F.split(line, delimiters[0])
+
+
+def once(value: Column) -> Column:
+    """The value as a generated column, so that later filters do not evaluate it again."""
+    return F.explode(F.array(value))
 
 
 def as_integer(field: Column) -> Column:
@@ -49,5 +61,7 @@ def as_integer(field: Column) -> Column:
 
 def as_number(field: Column) -> Column:
     """The number, or null."""
-    special_ok = ~field.rlike(ANY_SPECIAL) | field.rlike(VALID_SPECIAL)
-    return F.when(special_ok, field.try_cast("double"))
+    number = field.try_cast("double")
+    finite = F.abs(number) < float("inf")
+    misspelt = field.rlike(ANY_SPECIAL) & ~field.rlike(VALID_SPECIAL)
+    return F.when(finite | ~misspelt, number)

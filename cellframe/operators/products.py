@@ -73,8 +73,12 @@ def _sum_cells(pairs: DataFrame) -> DataFrame:
 
 
 def _coo_product(a: CooMatrix, b: CooMatrix) -> DataFrame:
-    spark = a.df.sparkSession
-    return _sum_cells(fanout.pair_join(spark, _left(a), _right(b), a.unique, b.unique))
+    left, right, keys = _spread(a, b)
+    return _sum_cells(left.join(right, keys))
+
+
+def _spread(a: CooMatrix, b: CooMatrix) -> tuple[DataFrame, DataFrame, list[str]]:
+    return fanout.spread(_left(a), _right(b), a.unique, b.unique, float(a.n_rows) * b.n_cols)
 
 
 def _packed_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, side: str) -> DataFrame | None:
@@ -94,12 +98,20 @@ def _packed_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, si
         rows = b if isinstance(b, PackedMatrix) and b.axis == "row" else pack_rows(
             _coo(b), longest=fan.longest_right)
         cells, packed, opened = left, rows.df.select(F.col("i").alias("k"), "cells"), "(j, vb)"
+        own_id, loose, packed_is_smaller = "i", right, fan.right_cells <= fan.left_cells
     else:
         cols = a if isinstance(a, PackedMatrix) and a.axis == "col" else pack_cols(
             _coo(a), longest=fan.longest_left)
         cells, packed, opened = right, cols.df.select(F.col("j").alias("k"), "cells"), "(i, va)"
+        own_id, loose, packed_is_smaller = "j", left, fan.left_cells <= fan.right_cells
     if tasks:
-        cells, packed = cells.repartition(tasks, "k"), packed.repartition(tasks, "k")
+        beside = None
+        if packed_is_smaller:
+            beside = fanout.beside_broadcast(cells, own_id, loose, fan, tasks, float(a.n_rows) * b.n_cols)
+        if beside is not None:
+            cells, packed = beside, F.broadcast(packed)
+        else:
+            cells, packed = cells.repartition(tasks, "k"), packed.repartition(tasks, "k").hint("merge")
     kept = [c for c in cells.columns if c != "k"]
     return _sum_cells(cells.join(packed, "k").selectExpr(*kept, f"inline(cells) as {opened}"))
 
@@ -142,12 +154,13 @@ def spmm_sorted(a: CooMatrix, b: CooMatrix) -> DataFrame:
 
 
 def spmm_sql(a: CooMatrix, b: CooMatrix) -> DataFrame:
-    """A B as SQL text over registered views."""
+    """A B as SQL text over registered views, which are laid out for the join."""
     require_compatible("spmm (sql)", (a.n_rows, a.n_cols), (b.n_rows, b.n_cols))
-    a.register("spmm_a")
-    b.register("spmm_b")
-    return a.df.sparkSession.sql(
-        "SELECT a.i, b.j, SUM(a.v * b.v) AS v FROM spmm_a a JOIN spmm_b b ON a.j = b.i GROUP BY a.i, b.j")
+    left, right, keys = _spread(a, b)
+    left.createOrReplaceTempView("spmm_a")
+    right.createOrReplaceTempView("spmm_b")
+    return left.sparkSession.sql(
+        f"SELECT i, j, SUM(va * vb) AS v FROM spmm_a JOIN spmm_b USING ({', '.join(keys)}) GROUP BY i, j")
 
 
 def sum_rows(df: DataFrame, key: str, terms, width: int) -> DataFrame:

@@ -5,9 +5,11 @@ pairs, not the bytes of the inputs, are the work, and byte-based planning cannot
 with 100,000 cells on each side is a few megabytes of input and ten billion pairs. So the key counts
 are measured first, with one small aggregate, and the join is laid out from exact numbers:
 
-* a side that is small enough is broadcast and the other side is dealt out evenly;
-* otherwise both sides are hashed on k over enough tasks for the pairs, and a key with more
-  pairs than one task should take is cut into a grid of blocks, each joined on its own.
+* both sides are hashed on k over enough tasks for the pairs and merge-joined, which may spill. A key
+  with more pairs than one task should take is cut into a grid of blocks, each joined on its own;
+* a side of checked size is broadcast where that saves something: when partial sums would be many,
+  the other side is hashed on its own output index, so that sums are complete where they are
+  made and no second shuffle follows; and a far larger other side need not be hashed on k.
 """
 
 from __future__ import annotations
@@ -18,10 +20,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PAIRS_PER_TASK = 2_000_000
+PAIRS_PER_TASK = 16_000_000
+MIN_PAIRS_PER_TASK = 500_000
 TASKS_PER_CORE = 16
-CELL_BYTES = 24
-BROADCAST_BYTES = 10 * 1024 * 1024
+CELL_BYTES = 56  # a cell in a broadcast hash table
+BROADCAST_BYTES = 64 * 1024 * 1024
+SUMS_PER_TASK = 50_000  # the generated hash table of an aggregate holds 65,536 groups
 # Merging duplicates costs one shuffle of the cells; it pays once each cell meets this many partners.
 MERGE_RATIO = 32
 
@@ -61,11 +65,11 @@ def measure(left: DataFrame, right: DataFrame) -> FanOut:
 
 def task_count(spark: SparkSession, pairs: float) -> int:
     """Join tasks for that many pairs: whole waves of the cores, 0 when one task would do."""
-    if pairs <= PAIRS_PER_TASK:
+    if pairs <= MIN_PAIRS_PER_TASK:
         return 0
     cores = spark.sparkContext.defaultParallelism
     waves = math.ceil(pairs / PAIRS_PER_TASK / cores)
-    return cores * min(waves, TASKS_PER_CORE)
+    return min(cores * min(waves, TASKS_PER_CORE), math.ceil(pairs / MIN_PAIRS_PER_TASK))
 
 
 def grid(left_cells: int, right_cells: int, limit: float) -> tuple[int, int]:
@@ -111,38 +115,71 @@ def merge_cells(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy("k", key).agg(F.sum(value).alias(value))
 
 
-def pair_join(spark: SparkSession, left: DataFrame, right: DataFrame,
-              left_unique: bool = False, right_unique: bool = False) -> DataFrame:
-    """All pairs ``<i, va, j, vb>`` of ``<k, i, va>`` and ``<k, j, vb>`` that share k.
+def _widest_row(big: DataFrame, own_id: str, small: DataFrame) -> float:
+    """Most pairs that fall on one value of ``own_id``; ``small`` is within the broadcast limit."""
+    partners = small.groupBy("k").agg(F.count("*").cast("double").alias("n"))
+    rows = big.join(F.broadcast(partners), "k").groupBy(own_id).agg(F.sum("n").alias("n"))
+    return rows.agg(F.coalesce(F.max("n"), F.lit(0.0))).first()[0]
 
-    Where the fan-out calls for it duplicates are summed before they are paired, so the number of
-    rows may be smaller than that of the plain join; a sum over them is the same.
+
+def beside_broadcast(big: DataFrame, own_id: str, small: DataFrame, fan: FanOut, tasks: int,
+                     out_cells: float) -> DataFrame | None:
+    """The larger side laid out for a broadcast of the smaller one, or None when that is no gain.
+
+    When partial sums would be many, the larger side is hashed on its own output index: each sum is
+    then complete in one task. No index may hold too many pairs for that. Otherwise a broadcast
+    only pays when it saves a shuffle of a side that is much larger.
+    """
+    big_cells, small_cells = max(fan.left_cells, fan.right_cells), min(fan.left_cells, fan.right_cells)
+    if small_cells * CELL_BYTES > BROADCAST_BYTES:
+        return None
+    if tasks * out_cells > 4 * big_cells:
+        if _widest_row(big, own_id, small) <= max(MIN_PAIRS_PER_TASK, 2 * fan.pairs / tasks):
+            most = big.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
+            return big.repartition(max(tasks, math.ceil(min(most, out_cells / SUMS_PER_TASK))), own_id)
+    if big_cells < 20 * small_cells:
+        return None
+    return big.repartition(tasks) if fan.pairs > 2 * big_cells else big
+
+
+def spread(left: DataFrame, right: DataFrame, left_unique: bool = False, right_unique: bool = False,
+           out_cells: float = math.inf) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Lay out ``<k, i, va>`` and ``<k, j, vb>`` for their join; returns both and the join keys.
+
+    Where the fan-out calls for it duplicates are summed before they are paired, so there may be
+    fewer pairs than in the plain join; a sum over the pairs is the same. ``out_cells`` bounds the
+    number of different (i, j).
     """
+    spark = left.sparkSession
     fan = measure(left, right)
+    mergeable = not (left_unique and right_unique)
 
     def merged() -> tuple[DataFrame, DataFrame]:
         return (left if left_unique else merge_cells(left, "i", "va"),
                 right if right_unique else merge_cells(right, "j", "vb"))
 
-    mergeable = not (left_unique and right_unique)
     if mergeable and fan.pairs_per_cell > MERGE_RATIO:
         left, right = merged()
         mergeable = False
         fan = measure(left, right)
     tasks = task_count(spark, fan.pairs)
     if not tasks:
-        return left.join(right, "k")
-    if min(fan.left_cells, fan.right_cells) * CELL_BYTES <= BROADCAST_BYTES:
-        if fan.left_cells <= fan.right_cells:
-            return right.repartition(tasks).join(F.broadcast(left), "k")
-        return left.repartition(tasks).join(F.broadcast(right), "k")
+        return left, right, ["k"]
+    if fan.left_cells < fan.right_cells:
+        beside = beside_broadcast(right, "j", left, fan, tasks, out_cells)
+        if beside is not None:
+            return F.broadcast(left), beside, ["k"]
+    else:
+        beside = beside_broadcast(left, "i", right, fan, tasks, out_cells)
+        if beside is not None:
+            return beside, F.broadcast(right), ["k"]
     limit = max(PAIRS_PER_TASK, fan.pairs / tasks)
     if fan.widest <= limit:
-        return left.repartition(tasks, "k").join(right.repartition(tasks, "k"), "k")
+        return left.repartition(tasks, "k"), right.repartition(tasks, "k").hint("merge"), ["k"]
     if mergeable:
         left, right = merged()
     cuts = hot_key_cuts(spark, fan, limit)
     keys = ["k", "lblock", "rblock"]
     left = cut_blocks(left, cuts, "l", "i", "r").repartition(tasks, *keys)
     right = cut_blocks(right, cuts, "r", "j", "l").repartition(tasks, *keys)
-    return left.join(right, keys)
+    return left, right.hint("merge"), keys

@@ -16,29 +16,25 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(P.trimmed(F.col("value")).alias("line"))
 
 
+def _records(spark: SparkSession, path: str, ids: list[str]) -> DataFrame:
+    """Lines of ids and a value v. A line is kept when its fields parse; a blank or a comment never does."""
+    f = P.once(P.fields(F.col("line"), P.CELL_DELIMITERS)).alias("f")
+    parsed = [P.as_integer(F.get("f", F.lit(n))).alias(name) for n, name in enumerate(ids)]
+    parsed.append(P.as_number(F.get("f", F.lit(len(ids)))).alias("v"))
+    records = _lines(spark, path).select(f).select(P.once(F.struct(*parsed)).alias("p")).select("p.*")
+    return records.where(" and ".join(f"{c} is not null" for c in [*ids, "v"]))
+
+
 def read_coo(spark: SparkSession, path: str, n_rows: int | None = None,
              n_cols: int | None = None) -> CooMatrix:
     """Lines ``i,j,v``. Lines that do not fit, headers among them, are dropped; further fields are
     ignored. Dimensions not given are the largest id + 1, and then an empty input is an error."""
-    f = P.fields(F.col("line"), P.CELL_DELIMITER)
-    cells = (
-        _lines(spark, path).where(P.is_data(F.col("line"))).select(f.alias("f"))
-        .select(P.as_integer(F.get("f", F.lit(0))).alias("i"), P.as_integer(F.get("f", F.lit(1))).alias("j"),
-                P.as_number(F.get("f", F.lit(2))).alias("v"))
-        .where("i is not null and j is not null and v is not null")
-    )
-    return CooMatrix.of(cells, n_rows, n_cols)
+    return CooMatrix.of(_records(spark, path, ["i", "j"]), n_rows, n_cols)
 
 
 def read_vector(spark: SparkSession, path: str, length: int | None = None) -> Vector:
     """Lines ``i,v``; see :func:`read_coo`."""
-    f = P.fields(F.col("line"), P.CELL_DELIMITER)
-    entries = (
-        _lines(spark, path).where(P.is_data(F.col("line"))).select(f.alias("f"))
-        .select(P.as_integer(F.get("f", F.lit(0))).alias("i"), P.as_number(F.get("f", F.lit(1))).alias("v"))
-        .where("i is not null and v is not null")
-    )
-    return Vector.of(entries, length)
+    return Vector.of(_records(spark, path, ["i"]), length)
 
 
 def _numbered(spark: SparkSession, path: str, keep: Column) -> DataFrame:
@@ -83,7 +79,7 @@ def read_dense_csv(spark: SparkSession, path: str, n_rows: int | None = None,
     """A dense matrix, one row per line, as its non-zero cells. Fields that are not numbers are
     skipped. Dimensions not given are the number of lines and the width of the first one."""
     rows = _numbered(spark, path, P.is_data(F.col("line")))
-    rows = rows.select("i", P.fields(F.col("line"), P.CELL_DELIMITER).alias("f"))
+    rows = rows.select("i", P.once(P.fields(F.col("line"), P.CELL_DELIMITERS)).alias("f"))
     if n_rows is None or n_cols is None:
         lines, width = _line_count_and_width(spark, rows, F.size("f"))
         n_rows = lines if n_rows is None else n_rows
@@ -101,8 +97,8 @@ def read_dense_rows(spark: SparkSession, path: str, n_rows: int | None = None,
     """A dense matrix, one comma-separated row per line, as dense rows. No comments; a field that is
     not a number is an error when the data is read."""
     rows = _numbered(spark, path, F.col("line") != "")
-    rows = rows.select("i", "line", F.transform(
-        P.fields(F.col("line"), P.ROW_DELIMITER), P.as_number).alias("row"))
+    rows = rows.select("i", "line", P.once(F.transform(
+        P.fields(F.col("line"), P.ROW_DELIMITERS), P.as_number)).alias("row"))
     bad = F.exists("row", lambda x: x.isNull())
     # In a filter the check cannot be pruned away.
     rows = rows.where(F.when(bad, F.raise_error(F.concat(F.lit("not a row of numbers: "), "line")))
@@ -124,7 +120,8 @@ def _read_shape(spark: SparkSession, path: str) -> tuple[int, ...]:
     line = headers.agg(F.min_by("line", place)).first()[0]
     if line is None:
         raise ValueError(f"Missing `# Shape:` header in {path}")
-    dims = [d for d in re.split(P.TENSOR_DELIMITER, re.match(P.SHAPE_HEADER, line).group(1)) if d]
+    rest = re.match(P.SHAPE_HEADER, line).group(1)
+    dims = [d for d in re.split(f"[{P.TENSOR_DELIMITERS}]", rest) if d]
     if not dims:
         raise ValueError("a tensor needs at least one dimension")
     for d in dims:
@@ -138,12 +135,14 @@ def read_tensor(spark: SparkSession, path: str) -> CooTensor:
     not fit the shape is an error when the data is read."""
     shape = _read_shape(spark, path)
     order = len(shape)
+    modes = [f"i{m}" for m in range(order)]
+    words = P.once(P.words(F.col("line"), P.TENSOR_DELIMITERS)).alias("f")
+    record = F.struct(
+        F.size("f").alias("n"), *[P.as_integer(F.get("f", F.lit(m))).alias(c) for m, c in enumerate(modes)],
+        P.as_number(F.get("f", F.lit(order))).alias("v"))
     parsed = (
-        _lines(spark, path).where(P.is_data(F.col("line")))
-        .select("line", P.words(F.col("line"), P.TENSOR_DELIMITER).alias("f"))
-        .select("line", F.size("f").alias("n"),
-                *[P.as_integer(F.get("f", F.lit(m))).alias(f"i{m}") for m in range(order)],
-                P.as_number(F.get("f", F.lit(order))).alias("v"))
+        _lines(spark, path).where(P.is_data(F.col("line"))).select("line", words)
+        .select("line", P.once(record).alias("p")).select("line", "p.*")
     )
 
     def fail(text: str) -> Column:
@@ -155,4 +154,4 @@ def read_tensor(spark: SparkSession, path: str) -> CooTensor:
         check = check.when(~F.col(f"i{m}").between(0, size - 1), fail(f"index out of bounds for mode {m} of size {size}"))
     check = check.when(F.col("v").isNull(), fail("value is not numeric"))
     valid = parsed.where(check.otherwise(F.lit(True)))
-    return CooTensor(valid.where("v <> 0").select(*[f"i{m}" for m in range(order)], "v"), shape)
+    return CooTensor(valid.where("v <> 0").select(*modes, "v"), shape)

@@ -11,6 +11,19 @@ from cellframe.model import CooMatrix, CooTensor, DenseRows, Vector
 
 FIRST_YEAR = 1995
 FACTOR_RANK = 4
+# Given schemas save a look at the files before every query.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+SIZED_TOGETHER = ("supplier", "part", "month")
 
 
 class Tables:
@@ -24,12 +37,14 @@ class Tables:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self._tables[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
     def sizes(self, *names: str) -> tuple[int, ...]:
         """Sizes of id ranges (largest id + 1), those not yet known in one job."""
-        missing = [n for n in names if n not in self._sizes]
+        wanted = dict.fromkeys(names + (SIZED_TOGETHER if set(names) & set(SIZED_TOGETHER) else ()))
+        missing = [n for n in wanted if n not in self._sizes]
         if missing:
             ids = [self._ids(n).select(F.lit(n).alias("name"), F.col("id").cast("bigint")) for n in missing]
             union = ids[0]

@@ -127,6 +127,7 @@ class PackedMatrix:
 
     Row-packed: ``<i, seg, cells ARRAY<STRUCT<j, v>>>``; column-packed: ``<j, seg, cells
     ARRAY<STRUCT<i, v>>>``. ``seg`` is 0 unless a row (column) is too long for one record.
+    ``source`` is the matrix it was packed from, if any; counting its cells needs no packing.
     """
 
     df: DataFrame
@@ -134,6 +135,7 @@ class PackedMatrix:
     n_cols: int
     axis: str
     unique: bool = False
+    source: CooMatrix | None = None
 
 
 @dataclass(frozen=True)

@@ -93,7 +93,7 @@ def _prepare(g: CooMatrix, alpha: float, nodes: str) -> _Walk:
     edges = CooMatrix(merged, g.n_rows, g.n_cols)
     degree = merged.groupBy("i").agg(F.sum("copies").alias("degree"), F.count("*").alias("fan"))
     known = _nodes(edges, nodes).join(degree, "i", "left").select("i", F.coalesce("fan", F.lit(0)).alias("fan"))
-    known = known.persist(StorageLevel.MEMORY_AND_DISK)
+    known = write_through(known, "nodes")
     count = known.agg(F.count("*").alias("n"), F.count_if(F.col("fan") == 0).alias("dangling")).first()
     n, dangling = count.n, count.dangling
     if n == 0:
@@ -153,12 +153,13 @@ def pagerank(g: CooMatrix, iterations: int = ITERATIONS, alpha: float = ALPHA, n
     """Ranks after a fixed number of turns: r' = alpha M^T r + (1 - alpha)/n + alpha dangling/n.
 
     ``nodes="range"`` takes every id below ``g.n_rows`` as a node; ``"endpoints"`` takes the ids
-    that occur. The links are laid out by source once. The ranks of each turn, one row per node, are
-    written to the shared folder: every turn is planned from a short plan, and losing an
-    executor replays one turn at most.
+    that occur. The links are hashed and sorted by source once, so a turn moves ranks and partial
+    sums only. The ranks of each turn, one row per node, are written to the shared folder: every
+    turn starts from a short plan, and losing an executor replays one turn at most.
     """
     walk = _prepare(g, alpha, nodes)
-    walk.links = walk.links.repartition("i", "cut").persist(StorageLevel.MEMORY_AND_DISK)
+    walk.links = walk.links.repartition("i", "cut").sortWithinPartitions("i", "cut")
+    walk.links = walk.links.persist(StorageLevel.MEMORY_AND_DISK)
     walk.nodes = walk.nodes.persist(StorageLevel.MEMORY_AND_DISK)
     state = walk.nodes.select("i", "v", "cuts")
     for _ in range(iterations):

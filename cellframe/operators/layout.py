@@ -68,12 +68,12 @@ def pack_rows(m: CooMatrix, max_cells: int = MAX_CELLS, longest: int | None = No
     sorted, so that no task has to hold an unbounded row. ``longest`` is the length of the longest
     row; it is counted when not given.
     """
-    return PackedMatrix(_pack(m.df, "i", "j", max_cells, longest), m.n_rows, m.n_cols, "row", m.unique)
+    return PackedMatrix(_pack(m.df, "i", "j", max_cells, longest), m.n_rows, m.n_cols, "row", m.unique, m)
 
 
 def pack_cols(m: CooMatrix, max_cells: int = MAX_CELLS, longest: int | None = None) -> PackedMatrix:
     """One record per column, its cells sorted by row; see :func:`pack_rows`."""
-    return PackedMatrix(_pack(m.df, "j", "i", max_cells, longest), m.n_rows, m.n_cols, "col", m.unique)
+    return PackedMatrix(_pack(m.df, "j", "i", max_cells, longest), m.n_rows, m.n_cols, "col", m.unique, m)
 
 
 def unpack(p: PackedMatrix) -> CooMatrix:

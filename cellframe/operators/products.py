@@ -72,13 +72,22 @@ def _sum_cells(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("i", "j").agg(F.sum(F.col("va") * F.col("vb")).alias("v"))
 
 
-def _coo_product(a: CooMatrix, b: CooMatrix) -> DataFrame:
+def _coo_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix) -> DataFrame:
     left, right, keys = _spread(a, b)
     return _sum_cells(left.join(right, keys))
 
 
-def _spread(a: CooMatrix, b: CooMatrix) -> tuple[DataFrame, DataFrame, list[str]]:
-    return fanout.spread(_left(a), _right(b), a.unique, b.unique, float(a.n_rows) * b.n_cols)
+def _spread(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix) -> tuple[DataFrame, DataFrame, list[str]]:
+    return fanout.spread(_left(_coo(a)), _right(_coo(b)), a.unique, b.unique, float(a.n_rows) * b.n_cols,
+                         _measure(a, b))
+
+
+def _measure(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix) -> fanout.FanOut:
+    return fanout.measure(_left(_counted(a)), _right(_counted(b)))
+
+
+def _counted(m: CooMatrix | PackedMatrix) -> CooMatrix:
+    return m.source if isinstance(m, PackedMatrix) and m.source is not None else _coo(m)
 
 
 def _packed_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, side: str) -> DataFrame | None:
@@ -89,7 +98,7 @@ def _packed_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, si
     has more pairs than a task should take, or when duplicates ought to be merged first.
     """
     left, right = _left(_coo(a)), _right(_coo(b))
-    fan = fanout.measure(left, right)
+    fan = _measure(a, b)
     tasks = fanout.task_count(left.sparkSession, fan.pairs)
     if tasks and (fan.widest > max(fanout.PAIRS_PER_TASK, fan.pairs / tasks)
                   or fan.pairs_per_cell > fanout.MERGE_RATIO):
@@ -144,7 +153,7 @@ def spmm(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, format: str =
         a = a if isinstance(a, PackedMatrix) else pack_rows(a)
         b = b if isinstance(b, PackedMatrix) else pack_cols(b)
     if df is None:
-        df = _coo_product(_coo(a), _coo(b))
+        df = _coo_product(a, b)
     return CooMatrix(df, a.n_rows, b.n_cols, unique=True)
 
 

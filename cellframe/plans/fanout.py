@@ -26,8 +26,8 @@ TASKS_PER_CORE = 16
 CELL_BYTES = 56  # a cell in a broadcast hash table
 BROADCAST_BYTES = 64 * 1024 * 1024
 SUMS_PER_TASK = 50_000  # the generated hash table of an aggregate holds 65,536 groups
-# Merging duplicates costs one shuffle of the cells; it pays once each cell meets this many partners.
-MERGE_RATIO = 32
+# Merging duplicates costs one shuffle of the cells, twice; it pays once a cell meets this many partners.
+MERGE_RATIO = 256
 
 
 @dataclass(frozen=True)
@@ -143,15 +143,15 @@ def beside_broadcast(big: DataFrame, own_id: str, small: DataFrame, fan: FanOut,
 
 
 def spread(left: DataFrame, right: DataFrame, left_unique: bool = False, right_unique: bool = False,
-           out_cells: float = math.inf) -> tuple[DataFrame, DataFrame, list[str]]:
+           out_cells: float = math.inf, fan: FanOut | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """Lay out ``<k, i, va>`` and ``<k, j, vb>`` for their join; returns both and the join keys.
 
     Where the fan-out calls for it duplicates are summed before they are paired, so there may be
     fewer pairs than in the plain join; a sum over the pairs is the same. ``out_cells`` bounds the
-    number of different (i, j).
+    number of different (i, j); ``fan`` is the measurement, if it has been made.
     """
     spark = left.sparkSession
-    fan = measure(left, right)
+    fan = fan or measure(left, right)
     mergeable = not (left_unique and right_unique)
 
     def merged() -> tuple[DataFrame, DataFrame]:

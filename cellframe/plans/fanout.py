@@ -25,7 +25,7 @@ MIN_PAIRS_PER_TASK = 500_000
 TASKS_PER_CORE = 16
 CELL_BYTES = 56  # a cell in a broadcast hash table
 BROADCAST_BYTES = 64 * 1024 * 1024
-SUMS_PER_TASK = 50_000  # the generated hash table of an aggregate holds 65,536 groups
+SUMS_PER_TASK = 32_000  # half of what the generated hash table of an aggregate holds
 # Merging duplicates costs one shuffle of the cells, twice; it pays once a cell meets this many partners.
 MERGE_RATIO = 256
 
@@ -135,8 +135,9 @@ def beside_broadcast(big: DataFrame, own_id: str, small: DataFrame, fan: FanOut,
         return None
     if tasks * out_cells > 4 * big_cells:
         if _widest_row(big, own_id, small) <= max(MIN_PAIRS_PER_TASK, 2 * fan.pairs / tasks):
-            most = big.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
-            return big.repartition(max(tasks, math.ceil(min(most, out_cells / SUMS_PER_TASK))), own_id)
+            cores = big.sparkSession.sparkContext.defaultParallelism
+            waves = math.ceil(min(TASKS_PER_CORE, out_cells / SUMS_PER_TASK / cores))
+            return big.repartition(max(tasks, cores * waves), own_id)
     if big_cells < 20 * small_cells:
         return None
     return big.repartition(tasks) if fan.pairs > 2 * big_cells else big

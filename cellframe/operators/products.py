@@ -99,9 +99,8 @@ def _packed_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, si
     """
     left, right = _left(_coo(a)), _right(_coo(b))
     fan = _measure(a, b)
-    tasks = fanout.task_count(left.sparkSession, fan.pairs)
-    if tasks and (fan.widest > max(fanout.PAIRS_PER_TASK, fan.pairs / tasks)
-                  or fan.pairs_per_cell > fanout.MERGE_RATIO):
+    tasks = fanout.task_count(left.sparkSession, fan.load)
+    if tasks and (fan.widest > fanout.task_limit(fan, tasks) or fan.pairs_per_cell > fanout.MERGE_RATIO):
         return None
     if side == "right":
         rows = b if isinstance(b, PackedMatrix) and b.axis == "row" else pack_rows(

@@ -17,12 +17,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAIRS_PER_TASK = 16_000_000
 MIN_PAIRS_PER_TASK = 500_000
-TASKS_PER_CORE = 16
+TASKS_PER_CORE = 32
 CELL_BYTES = 56  # a cell in a broadcast hash table
 BROADCAST_BYTES = 64 * 1024 * 1024
 SUMS_PER_TASK = 32_000  # half of what the generated hash table of an aggregate holds
@@ -32,7 +32,8 @@ MERGE_RATIO = 256
 
 @dataclass(frozen=True)
 class FanOut:
-    """Exact size of a join on k."""
+    """Exact size of a join on k. ``widest`` is the largest work of one key: its pairs, or its cells
+    where the other side has none, since they have to be moved all the same."""
 
     left_cells: int
     right_cells: int
@@ -42,11 +43,20 @@ class FanOut:
     longest_right: int
     per_key: DataFrame
 
+    @property
+    def load(self) -> float:
+        return self.pairs + self.left_cells + self.right_cells
+
     @property
     def pairs_per_cell(self) -> float:
         return self.pairs / max(1, self.left_cells + self.right_cells)
 
 
+def _work() -> Column:
+    """Work of one key; the works of all keys add up to ``FanOut.load`` at most."""
+    return F.greatest(F.col("l"), F.lit(1)).cast("double") * F.greatest(F.col("r"), F.lit(1))
+
+
 def measure(left: DataFrame, right: DataFrame) -> FanOut:
     """Count the cells per key ``k`` on both sides, in one small job."""
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
@@ -57,19 +67,24 @@ def measure(left: DataFrame, right: DataFrame) -> FanOut:
     )
     pairs = F.col("l").cast("double") * F.col("r")
     row = per_key.agg(
-        F.sum("l").alias("l"), F.sum("r").alias("r"), F.sum(pairs).alias("pairs"), F.max(pairs).alias("widest"),
+        F.sum("l").alias("l"), F.sum("r").alias("r"), F.sum(pairs).alias("pairs"), F.max(_work()).alias("widest"),
         F.max("l").alias("max_l"), F.max("r").alias("max_r"),
     ).na.fill(0).first()
     return FanOut(row.l, row.r, row.pairs, row.widest, row.max_l, row.max_r, per_key)
 
 
-def task_count(spark: SparkSession, pairs: float) -> int:
-    """Join tasks for that many pairs: whole waves of the cores, 0 when one task would do."""
-    if pairs <= MIN_PAIRS_PER_TASK:
+def task_count(spark: SparkSession, load: float) -> int:
+    """Join tasks for that many pairs and cells: whole waves of the cores, 0 when one task would do."""
+    if load <= MIN_PAIRS_PER_TASK:
         return 0
     cores = spark.sparkContext.defaultParallelism
-    waves = math.ceil(pairs / PAIRS_PER_TASK / cores)
-    return min(cores * min(waves, TASKS_PER_CORE), math.ceil(pairs / MIN_PAIRS_PER_TASK))
+    waves = math.ceil(load / PAIRS_PER_TASK / cores)
+    return min(cores * min(waves, TASKS_PER_CORE), math.ceil(load / MIN_PAIRS_PER_TASK))
+
+
+def task_limit(fan: FanOut, tasks: int) -> float:
+    """The most work of one key that is left in one task."""
+    return max(PAIRS_PER_TASK, fan.load / tasks)
 
 
 def grid(left_cells: int, right_cells: int, limit: float) -> tuple[int, int]:
@@ -78,6 +93,7 @@ def grid(left_cells: int, right_cells: int, limit: float) -> tuple[int, int]:
     The longer side is cut first: every cut of one side copies the other side once more.
     """
     edge = math.sqrt(limit)
+    left_cells, right_cells = max(1, left_cells), max(1, right_cells)
     pairs = left_cells * right_cells
     if right_cells <= edge:
         return math.ceil(pairs / limit), 1
@@ -87,13 +103,12 @@ def grid(left_cells: int, right_cells: int, limit: float) -> tuple[int, int]:
 
 
 def hot_key_cuts(spark: SparkSession, fan: FanOut, limit: float) -> DataFrame:
-    """``<k, lcuts, rcuts>`` for the keys with more than ``limit`` pairs.
+    """``<k, lcuts, rcuts>`` for the keys with more work than ``limit``.
 
-    All keys together have ``fan.pairs`` pairs, so there are at most pairs / limit such keys, which
-    is no more than the number of join tasks.
+    All keys together have at most ``fan.load`` work, so there are at most load / limit such keys,
+    which is no more than the number of join tasks.
     """
-    pairs = F.col("l").cast("double") * F.col("r")
-    rows = fan.per_key.where(pairs > F.lit(float(limit))).select("k", "l", "r").collect()
+    rows = fan.per_key.where(_work() > F.lit(float(limit))).select("k", "l", "r").collect()
     cuts = [(r.k, *grid(r.l, r.r, limit)) for r in rows]
     return spark.createDataFrame(cuts, "k bigint, lcuts int, rcuts int")
 
@@ -116,9 +131,10 @@ def merge_cells(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def _widest_row(big: DataFrame, own_id: str, small: DataFrame) -> float:
-    """Most pairs that fall on one value of ``own_id``; ``small`` is within the broadcast limit."""
+    """Most work that falls on one value of ``own_id``; ``small`` is within the broadcast limit."""
     partners = small.groupBy("k").agg(F.count("*").cast("double").alias("n"))
-    rows = big.join(F.broadcast(partners), "k").groupBy(own_id).agg(F.sum("n").alias("n"))
+    work = F.coalesce("n", F.lit(1.0))
+    rows = big.join(F.broadcast(partners), "k", "left").groupBy(own_id).agg(F.sum(work).alias("n"))
     return rows.agg(F.coalesce(F.max("n"), F.lit(0.0))).first()[0]
 
 
@@ -134,7 +150,7 @@ def beside_broadcast(big: DataFrame, own_id: str, small: DataFrame, fan: FanOut,
     if small_cells * CELL_BYTES > BROADCAST_BYTES:
         return None
     if tasks * out_cells > 4 * big_cells:
-        if _widest_row(big, own_id, small) <= max(MIN_PAIRS_PER_TASK, 2 * fan.pairs / tasks):
+        if _widest_row(big, own_id, small) <= max(MIN_PAIRS_PER_TASK, 2 * fan.load / tasks):
             cores = big.sparkSession.sparkContext.defaultParallelism
             waves = math.ceil(min(TASKS_PER_CORE, out_cells / SUMS_PER_TASK / cores))
             return big.repartition(max(tasks, cores * waves), own_id)
@@ -163,7 +179,7 @@ def spread(left: DataFrame, right: DataFrame, left_unique: bool = False, right_u
         left, right = merged()
         mergeable = False
         fan = measure(left, right)
-    tasks = task_count(spark, fan.pairs)
+    tasks = task_count(spark, fan.load)
     if not tasks:
         return left, right, ["k"]
     if fan.left_cells < fan.right_cells:
@@ -174,7 +190,7 @@ def spread(left: DataFrame, right: DataFrame, left_unique: bool = False, right_u
         beside = beside_broadcast(left, "i", right, fan, tasks, out_cells)
         if beside is not None:
             return beside, F.broadcast(right), ["k"]
-    limit = max(PAIRS_PER_TASK, fan.pairs / tasks)
+    limit = task_limit(fan, tasks)
     if fan.widest <= limit:
         return left.repartition(tasks, "k"), right.repartition(tasks, "k").hint("merge"), ["k"]
     if mergeable:

@@ -189,11 +189,28 @@ def test_hot_key_is_cut_into_blocks_of_bounded_work(spark, monkeypatch):
     assert largest < 400  # blocks are hashed, so near 100 and never near 20000
 
 
+def test_hot_key_without_partners_is_spread_too(spark, monkeypatch):
+    """A third of the left cells share a key the right side does not have."""
+    monkeypatch.setattr(fanout, "PAIRS_PER_TASK", 50)
+    monkeypatch.setattr(fanout, "MIN_PAIRS_PER_TASK", 10)
+    monkeypatch.setattr(fanout, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(fanout, "TASKS_PER_CORE", 1000)
+    a = [(i, 99, 1.0) for i in range(600)] + [(i, i % 40, 1.0) for i in range(1200)]
+    b = [(k, 0, 1.0) for k in range(40)]
+    left = spark.createDataFrame([(k, i, v) for i, k, v in a], "k bigint, i bigint, va double")
+    right = spark.createDataFrame([(k, j, v) for k, j, v in b], "k bigint, j bigint, vb double")
+    left2, right2, keys = fanout.spread(left, right, True, True)
+    assert left2.where("k = 99").count() == 600
+    assert left2.groupBy(*keys).count().agg({"count": "max"}).first()[0] < 120
+    assert left2.join(right2, keys).count() == 1200
+
+
 def test_grid_cuts_the_longer_side_first():
     assert fanout.grid(10, 1, 100) == (1, 1)
     assert fanout.grid(1000, 5, 100) == (50, 1)
     assert fanout.grid(5, 1000, 100) == (1, 50)
     assert fanout.grid(1000, 1000, 100) == (100, 100)
+    assert fanout.grid(1000, 0, 100) == (10, 1)
 
 
 def test_task_count_is_bounded(spark):

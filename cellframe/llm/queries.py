@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellframe.llm import oracles
 from cellframe.llm.line_dedup import drop_repeated_lines
+from cellframe.llm.near_dedup import near_duplicates
 from cellframe.llm.packing import pack_documents
 
 
@@ -30,9 +31,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_packing": op4_packing,
+    "op7_near_dedup": op7_near_dedup,
 }
 
 ORACLES = {

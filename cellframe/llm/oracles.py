@@ -18,3 +18,24 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+SUBSTRING_DEDUP = """
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(words) - 18)) AS pos, words FROM texts WHERE len(words) >= 20),
+keyed AS (SELECT doc_id, pos, array_to_string(words[pos:pos + 19], ' ') AS key FROM windows),
+repeated AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY key ORDER BY doc_id, pos) AS k FROM keyed) WHERE k > 1),
+covered AS (SELECT DISTINCT doc_id, pos + o AS pos FROM repeated, (SELECT unnest(range(0, 20)) AS o)),
+placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM texts),
+marked AS (
+  SELECT p.doc_id, p.pos, p.word, c.pos IS NOT NULL AS removed
+  FROM placed p LEFT JOIN covered c ON p.doc_id = c.doc_id AND p.pos = c.pos)
+SELECT t.doc_id, len(t.words) AS n_words, coalesce(m.n_removed, 0) AS n_removed, sha256(coalesce(m.kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed,
+         string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT removed) AS kept
+  FROM marked GROUP BY doc_id) m ON t.doc_id = m.doc_id
+"""

@@ -10,6 +10,7 @@ from cellframe.llm import oracles
 from cellframe.llm.line_dedup import drop_repeated_lines
 from cellframe.llm.near_dedup import near_duplicates
 from cellframe.llm.packing import pack_documents
+from cellframe.llm.substring_dedup import drop_repeated_passages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,12 +36,19 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), joined=True)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_packing": op4_packing,
     "op7_near_dedup": op7_near_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLES = {
     "op2_line_dedup": oracles.LINE_DEDUP,
+    "op9_substring_dedup": oracles.SUBSTRING_DEDUP,
 }

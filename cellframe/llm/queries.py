@@ -10,6 +10,7 @@ from cellframe.llm import oracles
 from cellframe.llm.line_dedup import drop_repeated_lines
 from cellframe.llm.near_dedup import near_duplicates
 from cellframe.llm.packing import pack_documents
+from cellframe.llm.quality import quality_scores
 from cellframe.llm.substring_dedup import drop_repeated_passages
 
 
@@ -32,6 +33,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
@@ -44,6 +49,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_packing": op4_packing,
+    "op6_quality": op6_quality,
     "op7_near_dedup": op7_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
 }

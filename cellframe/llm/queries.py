@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellframe.llm import oracles
+from cellframe.llm.bpe import decode_documents, encode_documents
 from cellframe.llm.line_dedup import drop_repeated_lines
 from cellframe.llm.near_dedup import near_duplicates
 from cellframe.llm.packing import pack_documents
@@ -15,6 +17,10 @@ from cellframe.llm.substring_dedup import drop_repeated_passages
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; Python workers that this session starts from here on find this package."""
+    here, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if here not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [known.get("PYTHONPATH"), here]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,6 +47,13 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
+    return decode_documents(encoded, tokenizer_file()).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), joined=True)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -51,6 +64,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op6_quality": op6_quality,
     "op7_near_dedup": op7_near_dedup,
+    "op8_bpe": op8_bpe,
     "op9_substring_dedup": op9_substring_dedup,
 }
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellframe.llm import oracles
 from cellframe.llm.bpe import decode_documents, encode_documents
+from cellframe.llm.html_text import extract_text
+from cellframe.llm.language import identify
 from cellframe.llm.line_dedup import drop_repeated_lines
 from cellframe.llm.near_dedup import near_duplicates
 from cellframe.llm.packing import pack_documents
@@ -35,6 +37,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -61,7 +71,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_html_text": op3_html_text,
     "op4_packing": op4_packing,
+    "op5_language": op5_language,
     "op6_quality": op6_quality,
     "op7_near_dedup": op7_near_dedup,
     "op8_bpe": op8_bpe,

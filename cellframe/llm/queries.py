@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cellframe.llm import oracles
+from cellframe.llm.ann import nearest
 from cellframe.llm.bpe import decode_documents, encode_documents
 from cellframe.llm.html_text import extract_text
 from cellframe.llm.language import identify
@@ -16,6 +17,7 @@ from cellframe.llm.near_dedup import near_duplicates
 from cellframe.llm.packing import pack_documents
 from cellframe.llm.quality import quality_scores
 from cellframe.llm.substring_dedup import drop_repeated_passages
+from cellframe.llm.topk import top_inner_products
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,14 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return os.environ.get("CELLFRAME_TOKENIZER", public_tokenizers.path(name))
 
 
+def is_query() -> Column:
+    return F.col("vec_id") % 50 == 0
+
+
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), is_query())
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -69,7 +79,12 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"), is_query())
+
+
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
     "op3_html_text": op3_html_text,
     "op4_packing": op4_packing,
@@ -78,9 +93,11 @@ QUERIES = {
     "op7_near_dedup": op7_near_dedup,
     "op8_bpe": op8_bpe,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_topk": op10_topk,
 }
 
 ORACLES = {
     "op2_line_dedup": oracles.LINE_DEDUP,
     "op9_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op10_topk": oracles.TOP_K,
 }

@@ -81,7 +81,7 @@ def _unwanted(tag: str, attributes: str, parent: Node) -> tuple[bool, bool]:
 
 def parse(html: str) -> list[Node]:
     """All elements in page order; the first is the root."""
-    root = Node("html", None)
+    root = Node("body", None)
     nodes, here, at = [root], root, 0
     while True:
         found = _TOKEN(html, at)
@@ -112,10 +112,11 @@ def parse(html: str) -> list[Node]:
                 here.items.append(Node(tag, here))
             continue
         if tag in ("html", "body"):
-            if tag == "body" and here.tag != "body":
-                here = root
-            if tag == "html" or any(n.tag == "body" for n in nodes[:4]):
-                continue
+            node = here
+            while node.parent and node.tag != "head":
+                node = node.parent
+            here = root if node.tag == "head" else here  # an open head ends where the body begins
+            continue
         if tag not in INLINE:
             closes = CLOSED_BY.get(tag)
             node = here

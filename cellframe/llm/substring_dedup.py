@@ -4,8 +4,8 @@ The trees hold suffixes cut at the window length (20 words), since a window repe
 suffix meets another one at a node that deep. Suffixes are dealt over trees by a prefix that equal
 windows share, and only suffixes whose prefix occurs twice are built into trees:
 
-1. The prefix of a window is its core: of its runs of 8 words, the one with the smallest hash. Neighbour
-   windows mostly have the same core, so a document has about one core for seven windows.
+1. The prefix of a window is its core: of its runs of 5 words, the one with the smallest hash. Neighbour
+   windows mostly have the same core, so a document has about one core for eight windows.
 2. Cores are dealt by range and sorted by core, document and position. A core that occurs once closes
    its windows. A core with more occurrences than a tree should hold is cut into several trees.
 3. The words of the windows with repeated cores are sent to their tree. Trees are built level by level,
@@ -23,18 +23,19 @@ import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 from xxhash import xxh3_128_digest
 
 from cellframe.llm.shingles import gram_hashes, word_hashes
 from cellframe.session import write_through
 
-WINDOW, CORE, EDGE = 20, 8, 5
+WINDOW, CORE, EDGE = 20, 5, 5
 #: Occurrences of one core that a tree may hold, and windows' stretches built at a time.
 TREE = 1000
 BUFFER = 20_000
 
 CORES = "core long, doc_id long, version int, first int, windows int"
-REPEATED = CORES + ", tree long, cut boolean"
+REPEATED = "doc_id long, version int, first int, windows int, tree long, cut boolean"
 STRETCHES = REPEATED + ", words binary"
 FOUND = "doc_id long, version int, first int, last int, k1 long, k2 long"
 WORD_SPANS = re.compile(rb"[^\x20\x09-\x0D]+").finditer
@@ -71,24 +72,23 @@ def _repeated(batches):
     """Of sorted cores, those that occur twice or may go on in a neighbour task, each with its tree."""
     from pyspark import TaskContext
 
-    base = (TaskContext.get().partitionId() << 24) + 1
-    held, passed, at_start = None, 0, True  # passed: rows of the first held core that went out already
+    tree = TaskContext.get().partitionId() << 40
+    held, begun = None, True  # begun: the first held core may have occurred before
 
-    def out(rows: pa.Table, passed: int, at_start: bool, at_end: bool):
+    def out(rows: pa.Table, begun: bool, goes_on: bool):
+        nonlocal tree
         core = rows["core"].to_numpy()
-        starts = np.flatnonzero(np.diff(core, prepend=core[0] - 1 if core[0] > -2**63 else core[0] + 1))
+        starts = np.flatnonzero(np.r_[True, core[1:] != core[:-1]])
         counts = np.diff(starts, append=len(core))
         index = np.arange(len(core)) - np.repeat(starts, counts)
-        total = counts.copy()
-        index[:counts[0]] += passed
-        total[0] += passed
-        cut = total > TREE
-        cut[0] |= at_start
-        cut[-1] |= at_end
-        keep = np.repeat((total > 1) | cut, counts)
-        rows = rows.append_column("tree", pa.array(base + index // TREE, pa.int64()))
-        rows = rows.append_column("cut", pa.array(np.repeat(cut, counts)))
-        yield from rows.filter(pa.array(keep)).to_batches()
+        cut = counts > TREE
+        cut[0] |= begun
+        cut[-1] |= goes_on
+        trees = np.cumsum(index % TREE == 0) + tree
+        tree = int(trees[-1])
+        keep = np.repeat((counts > 1) | cut, counts)
+        rows = rows.drop_columns(["core"]).append_column("tree", pa.array(trees, pa.int64()))
+        yield from rows.append_column("cut", pa.array(np.repeat(cut, counts))).filter(pa.array(keep)).to_batches()
 
     for batch in batches:
         if not batch.num_rows:
@@ -98,24 +98,24 @@ def _repeated(batches):
         core = held["core"].to_numpy()
         whole = int(np.searchsorted(core, core[-1]))
         if whole:
-            yield from out(held.slice(0, whole), passed, at_start, False)
-            held, passed, at_start = held.slice(whole), 0, False
+            yield from out(held.slice(0, whole), begun, False)
+            held, begun = held.slice(whole), False
         elif held.num_rows > TREE:
-            yield from out(held, passed, at_start, True)
-            held, passed = None, passed + len(core)
+            yield from out(held, begun, True)
+            held, begun = None, True
     if held is not None:
-        yield from out(held, passed, at_start, True)
+        yield from out(held, begun, True)
 
 
 def _stretches(batches):
     """The words of all windows of each repeated core."""
-    names = ["core", "doc_id", "version", "first", "windows", "tree", "cut", "words"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
+    names = ["doc_id", "version", "first", "windows", "tree", "cut", "words"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
     for batch in batches:
         rows = []
         for doc_id, version, text, cores in zip(*(batch[c].to_pylist() for c in ("doc_id", "version", "text", "cores"))):
             words = text.encode().split()
-            rows += [(c["core"], doc_id, version, c["first"], c["windows"], c["tree"], c["cut"],
+            rows += [(doc_id, version, c["first"], c["windows"], c["tree"], c["cut"],
                       b" ".join(words[c["first"]:c["first"] + c["windows"] + WINDOW - 1])) for c in cores]
             if len(rows) >= BUFFER:
                 yield _batch(list(zip(*rows)), kinds, names)
@@ -151,8 +151,7 @@ def repeats(rows: pa.Table) -> pa.RecordBatch:
     stretch = np.repeat(np.arange(len(words)), windows)
     within = np.arange(len(stretch)) - np.repeat(np.cumsum(windows) - windows, windows)
     start = np.repeat(np.cumsum(lengths) - lengths, windows) + within
-    core, tree = rows["core"].to_numpy(), rows["tree"].to_numpy()
-    group = np.cumsum(np.r_[False, (core[1:] != core[:-1]) | (tree[1:] != tree[:-1])])
+    group = rows["tree"].to_numpy()
     doc, version = rows["doc_id"].to_numpy(), rows["version"].to_numpy()
     first = rows["first"].to_numpy().astype(np.int64)[stretch] + within
 
@@ -195,8 +194,8 @@ def _trees(batches):
         held = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
         if held.num_rows < BUFFER:
             continue
-        core, tree = held["core"].to_numpy(), held["tree"].to_numpy()
-        last = np.flatnonzero((core != core[-1]) | (tree != tree[-1]))
+        tree = held["tree"].to_numpy()
+        last = np.flatnonzero(tree != tree[-1])
         if len(last):
             yield repeats(held.slice(0, int(last[-1]) + 1))
             held = held.slice(int(last[-1]) + 1)
@@ -259,22 +258,25 @@ def drop_repeated_passages(docs: DataFrame, joined: bool = False) -> DataFrame:
     cores = write_through(known.select("doc_id", "version", "text").mapInArrow(_cores, CORES), "cores")
     repeated = (cores.repartitionByRange(tasks, *place).sortWithinPartitions(*place).mapInArrow(_repeated, REPEATED)
                 .groupBy("doc_id", "version")
-                .agg(F.collect_list(F.struct("core", "first", "windows", "tree", "cut")).alias("cores")))
-    stretches = known.join(repeated, ["doc_id", "version"]).select("doc_id", "version", "text", "cores").mapInArrow(
-        _stretches, STRETCHES)
-    found = (stretches.repartition(tasks, "core", "tree").sortWithinPartitions("core", "tree")
-             .mapInArrow(_trees, FOUND))
-    found = write_through(found, "passages")
+                .agg(F.collect_list(F.struct("first", "windows", "tree", "cut")).alias("cores")))
+    # The texts move once: both joins read the same exchange, which is why columns that nobody reads come along.
+    stretches = known.join(repeated, ["doc_id", "version"]).mapInArrow(_stretches, STRETCHES)
+    found = (stretches.repartition(tasks, "tree").sortWithinPartitions("tree").mapInArrow(_trees, FOUND)
+             .groupBy("doc_id", "version").agg(F.collect_list(F.struct("first", "last", "k1", "k2")).alias("found")))
+    repeats_of = found.select("doc_id", "version", F.filter("found", lambda f: f["k1"].isNull()).alias("runs"))
     meeting = Window.partitionBy("k1", "k2").orderBy("doc_id", "version", "first")
     at = F.struct("doc_id", "version", "first")
-    later = (found.where("k1 IS NOT NULL").withColumn("lead", F.first(at).over(meeting))
-             .where(at != F.col("lead")).select("doc_id", "version", "first", "last"))
-    runs = (found.where("k1 IS NULL").select("doc_id", "version", "first", "last").unionByName(later)
-            .groupBy("doc_id", "version").agg(F.collect_list(F.struct("first", "last")).alias("runs")))
-    rows = texts.join(runs, ["doc_id", "version"], "left").select("doc_id", *named.values(), "text", "runs")
+    later = (found.select("doc_id", "version", F.inline(F.filter("found", lambda f: f["k1"].isNotNull())))
+             .withColumn("lead", F.first(at).over(meeting)).where(at != F.col("lead"))
+             .groupBy("doc_id", "version").agg(F.collect_list(F.struct("first", "last")).alias("later")))
+    none = F.array().cast("array<struct<first:int,last:int>>")
+    rows = (known.join(repeats_of, ["doc_id", "version"], "left").join(later, ["doc_id", "version"], "left")
+            .select("doc_id", *named.values(), "text", F.concat(
+                F.transform(F.coalesce("runs", F.array().cast(repeats_of.schema["runs"].dataType)),
+                            lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last"))),
+                F.coalesce("later", none)).alias("runs")))
+    rows = rows.unionByName(texts.where("doc_id IS NULL").select("doc_id", *named.values(), "text", none.alias("runs")))
     fields = [f for f in rows.schema.fields if f.name not in ("text", "runs")]
-    from pyspark.sql.types import LongType, StringType, StructType
-
     schema = StructType(fields).add("n_words", LongType()).add("n_removed", LongType()).add("kept_text", StringType())
     back = {n: c for c, n in named.items()}
     return rows.mapInArrow(_cut_out(joined), schema).select(

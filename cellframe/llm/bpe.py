@@ -85,9 +85,9 @@ def concatenated(tokenizer, pieces: list[Encoded]) -> Encoded:
     return pieces[0]
 
 
-def _passing(docs: DataFrame, added: str) -> tuple[DataFrame, dict[str, str]]:
+def _passing(docs: DataFrame, added: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
     """docs with safe names for the columns that pass through, and those names."""
-    names = {c: f"_in{k}" for k, c in enumerate(docs.columns) if c != "text" and c.lower() != added}
+    names = {c: f"_in{k}" for k, c in enumerate(docs.columns) if c != "text" and c.lower() not in added}
     return docs.select(*[F.col(c).alias(n) for c, n in names.items()],
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), names
 
@@ -107,18 +107,22 @@ def _mapped(batches, column: str, make, kind: pa.DataType, name: str):
                 begun, values, size = begun + len(values), [], 0
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, long: int = LONG, piece: int = PIECE) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, long: int = LONG, piece: int = PIECE,
+                     decoded: bool = False) -> DataFrame:
     """docs with `ids` (little-endian unsigned 32-bit integers) in the place of `text`.
 
-    A null or empty text has no ids. Repeated rows, null doc_ids and other columns pass through (a column
-    named ids is replaced); an empty table gives an empty result.
+    decoded adds what decode_documents would, in the same pass. A null or empty text has no ids. Repeated
+    rows, null doc_ids and other columns pass through (columns named ids or decoded are replaced); an
+    empty table gives an empty result.
     """
-    rows, names = _passing(docs, "ids")
+    rows, names = _passing(docs, ("ids", "decoded"))
     kept = StructType([rows.schema[n] for n in names.values()])
     schema = StructType(list(kept.fields)).add("ids", BinaryType())
+    wanted = StructType(list(schema.fields)).add("decoded", StringType()) if decoded else schema
 
     def encode(batches):
-        return _mapped(batches, "text", encoder(tokenizer).ids, pa.binary(), "ids")
+        out = _mapped(batches, "text", encoder(tokenizer).ids, pa.binary(), "ids")
+        return _decoding(tokenizer)(out) if decoded else out
 
     def encode_pieces(batches):
         for batch in batches:
@@ -149,18 +153,14 @@ def encode_documents(docs: DataFrame, tokenizer: str, long: int = LONG, piece: i
     fields = StructType(list(pieces.schema.fields)).add("ids", BinaryType()).add("starts", BinaryType()).add("ends", BinaryType())
     joined = (pieces.repartition(tasks, "key", "version", "at").mapInArrow(encode_pieces, fields)
               .groupBy("key", "version").applyInPandas(join_pieces, schema))
-    short = rows.where(~is_long).mapInArrow(encode, schema)
-    return short.unionByName(joined).select(*[F.col(n).alias(c) for c, n in names.items()], "ids")
+    short = rows.where(~is_long).mapInArrow(encode, wanted)
+    if decoded:
+        joined = decode_documents(joined, tokenizer)
+    return short.unionByName(joined).select(*[F.col(n).alias(c) for c, n in names.items()], *wanted.names[len(names):])
 
 
-def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    """encoded with `decoded` added: the file has no decoder, so the tokens stand with spaces between them.
-
-    Null ids decode to the empty text; a column named decoded is replaced.
-    """
-    kept = encoded.select(*[c for c in encoded.columns if c.lower() != "decoded"])
-    schema = StructType(list(kept.schema.fields)).add("decoded", StringType())
-
+def _decoding(tokenizer: str):
+    """Adds `decoded` to batches with `ids`."""
     def decode(batches):
         inner = encoder(tokenizer).tokenizer
         tokens = [inner.id_to_token(k).encode() for k in range(inner.get_vocab_size())]
@@ -175,5 +175,13 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([text(i) for i in part["ids"].to_pylist()], pa.string())],
                     names=[*part.schema.names, "decoded"])
+    return decode
 
-    return kept.mapInArrow(decode, schema)
+
+def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
+    """encoded with `decoded` added: the file has no decoder, so the tokens stand with spaces between them.
+
+    Null ids decode to the empty text; a column named decoded is replaced.
+    """
+    kept = encoded.select(*[c for c in encoded.columns if c.lower() != "decoded"])
+    return kept.mapInArrow(_decoding(tokenizer), StructType(list(kept.schema.fields)).add("decoded", StringType()))

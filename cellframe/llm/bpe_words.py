@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+").findall
 # Characters above Latin Extended-B, and those below whose class differs between Python and the file.
 NOT_SIMPLE = re.compile("[^\x00-ɏ]|[\x1c-\x1f\x85\xb2\xb3\xb9\xbc-\xbeİ]").search
-CACHED = 500_000
+CACHED = 300_000
 LONGEST_CACHED = 48
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cellframe.llm import oracles
 from cellframe.llm.ann import nearest
-from cellframe.llm.bpe import decode_documents, encode_documents
+from cellframe.llm.bpe import encode_documents
 from cellframe.llm.html_text import extract_text
 from cellframe.llm.language import identify
 from cellframe.llm.line_dedup import drop_repeated_lines
@@ -68,8 +68,8 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
-    return decode_documents(encoded, tokenizer_file()).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_documents(docs, tokenizer_file(), decoded=True).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

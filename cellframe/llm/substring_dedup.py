@@ -249,7 +249,10 @@ def drop_repeated_passages(docs: DataFrame, joined: bool = False) -> DataFrame:
     added = ("text", "n_words", "n_removed", "kept_text")
     passing = [c for c in docs.columns if c.lower() not in (*added, "doc_id")]
     named = {c: f"_in{k}" for k, c in enumerate(passing)}
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+    # No cast where none is needed: the planner drops its alias on one side only, and would move the texts twice.
+    kinds = dict(docs.dtypes)
+    texts = docs.select(*[c if kinds[c] == kind else F.col(c).cast(kind).alias(c) for c, kind in
+                          (("doc_id", "bigint"), ("text", "string"))],
                         F.hash("text").alias("version"), *[F.col(c).alias(n) for c, n in named.items()])
     known = texts.where("doc_id IS NOT NULL")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -262,7 +265,7 @@ def drop_repeated_passages(docs: DataFrame, joined: bool = False) -> DataFrame:
     # The texts move once: both joins read the same exchange, which is why columns that nobody reads come along.
     stretches = known.join(repeated, ["doc_id", "version"]).mapInArrow(_stretches, STRETCHES)
     found = (stretches.repartition(tasks, "tree").sortWithinPartitions("tree").mapInArrow(_trees, FOUND)
-             .groupBy("doc_id", "version").agg(F.collect_list(F.struct("first", "last", "k1", "k2")).alias("found")))
+             .where("doc_id IS NOT NULL AND version IS NOT NULL").groupBy("doc_id", "version").agg(F.collect_list(F.struct("first", "last", "k1", "k2")).alias("found")))
     repeats_of = found.select("doc_id", "version", F.filter("found", lambda f: f["k1"].isNull()).alias("runs"))
     meeting = Window.partitionBy("k1", "k2").orderBy("doc_id", "version", "first")
     at = F.struct("doc_id", "version", "first")

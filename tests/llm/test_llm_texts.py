@@ -192,7 +192,9 @@ def test_best_fit_decreasing_takes_the_tightest_window():
 def test_bpe_round_trip(corpus):
     rows, df = corpus
     for frame, options in ((df, {}), (odd_rows(df), {"long": 300, "piece": 70})):
-        got = decode_documents(encode_documents(frame, FILE, **options), FILE).collect()
+        got = encode_documents(frame, FILE, decoded=True, **options).collect()
+        again = decode_documents(encode_documents(frame, FILE, **options), FILE)
+        assert sorted(r.decoded for r in again.collect()) == sorted(r.decoded for r in got)
         assert len(got) == frame.count()
         texts = dict(rows)
         for r in got:

@@ -74,12 +74,20 @@ def generated(spark) -> dict[str, float]:
         clock(f"spmm_{n}_d{density}_sql", lambda: cf.spmm_sql(a, b))
         a.df.unpersist()
         b.df.unpersist()
-    for density in (0.1, 0.4):
+    for density in (0.1, 0.2, 0.3, 0.4):
         a, b, c = matrix(5000, 10, density, 4), matrix(10, 5000, density, 5), matrix(5000, 10, density, 6)
         clock(f"chain_d{density}_chosen", lambda: cf.spmm_chain3(a, b, c).df)
         clock(f"chain_d{density}_other", lambda: cf.spmm_chain3(a, b, c, order="AB_then_C").df)
         for m in (a, b, c):
             m.df.unpersist()
+    for shape in ((300, 300, 300), (200, 400, 800)):
+        t = cf.random_tensor(spark, shape, 0.001, 7)
+        t = cf.CooTensor(t.df.cache(), t.shape)
+        factors = [cf.random_dense(spark, n, 32, 8 + m) for m, n in enumerate(shape)]
+        t.df.count()
+        for method in ("coo", "fiber"):
+            clock(f"mttkrp_{'x'.join(map(str, shape))}_r32_{method}", lambda: cf.mttkrp(t, factors, 0, method=method).df)
+        t.df.unpersist()
     return seconds
 
 

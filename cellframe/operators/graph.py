@@ -6,6 +6,7 @@ count each time.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -18,6 +19,7 @@ from cellframe.session import write_through
 EDGES_PER_TASK = 4_000_000
 ALPHA = 0.85
 ITERATIONS = 10
+TURNS_PER_WRITE = 5
 POOL = -(2 ** 63)  # no graph uses this id
 
 
@@ -29,7 +31,7 @@ def graph_stats(g: CooMatrix) -> DataFrame:
     )
     return ends.agg(
         F.count("*").alias("n_nodes"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
-        F.coalesce((F.sum("n") / 2).cast("bigint"), F.lit(0)).alias("n_edges"),
+        F.coalesce(F.expr("sum(n) div 2"), F.lit(0)).alias("n_edges"),
     )
 
 
@@ -50,7 +52,9 @@ def out_degree(g: CooMatrix) -> DataFrame:
 def transition_matrix(g: CooMatrix) -> CooMatrix:
     """Each edge with value 1 / out-degree of its source; repeated edges stay repeated."""
     weight = F.lit(1.0) / F.col("degree").cast("double")
-    edges = g.df.join(out_degree(g), "i").select("i", "j", weight.alias("v"))
+    # Written first: Spark then splits a hub's edges over tasks, which it does not do beside an aggregate.
+    degree = write_through(out_degree(g), "degree")
+    edges = g.df.join(degree, "i").select("i", "j", weight.alias("v"))
     return g.with_df(edges)
 
 
@@ -80,6 +84,7 @@ class _Walk:
     nodes: DataFrame  # <i, v, base, cuts>: start value, constant part, and cuts of the node's links
     links: DataFrame  # <i, cut, j, w>, alpha included
     n: int
+    size: int  # links, those of the pool among them
 
 
 def _prepare(g: CooMatrix, alpha: float, nodes: str) -> _Walk:
@@ -91,10 +96,13 @@ def _prepare(g: CooMatrix, alpha: float, nodes: str) -> _Walk:
     spark = g.df.sparkSession
     merged = write_through(g.df.groupBy("i", "j").agg(F.count("*").alias("copies")), "edges")
     edges = CooMatrix(merged, g.n_rows, g.n_cols)
-    degree = merged.groupBy("i").agg(F.sum("copies").alias("degree"), F.count("*").alias("fan"))
+    # Written first, so that Spark splits a hub's edges in the join with it.
+    degree = write_through(
+        merged.groupBy("i").agg(F.sum("copies").alias("degree"), F.count("*").alias("fan")), "degree")
     known = _nodes(edges, nodes).join(degree, "i", "left").select("i", F.coalesce("fan", F.lit(0)).alias("fan"))
     known = write_through(known, "nodes")
-    count = known.agg(F.count("*").alias("n"), F.count_if(F.col("fan") == 0).alias("dangling")).first()
+    count = known.agg(F.count("*").alias("n"), F.count_if(F.col("fan") == 0).alias("dangling"),
+                      F.coalesce(F.sum("fan"), F.lit(0)).alias("links")).first()
     n, dangling = count.n, count.dangling
     if n == 0:
         raise ValueError("PageRank needs at least one node")
@@ -125,7 +133,7 @@ def _prepare(g: CooMatrix, alpha: float, nodes: str) -> _Walk:
     pool = spark.range(1).select(
         F.lit(POOL).alias("i"), F.lit(dangling / n).alias("v"), F.lit(rest * dangling).alias("base"),
         F.lit(pool_cuts).alias("cuts"))
-    return _Walk(table.unionByName(pool), links, n)
+    return _Walk(table.unionByName(pool), links, n, count.links + 2 * n)
 
 
 def _turn(walk: _Walk, state: DataFrame) -> DataFrame:
@@ -154,17 +162,23 @@ def pagerank(g: CooMatrix, iterations: int = ITERATIONS, alpha: float = ALPHA, n
 
     ``nodes="range"`` takes every id below ``g.n_rows`` as a node; ``"endpoints"`` takes the ids
     that occur. The links are hashed and sorted by source once, so a turn moves ranks and partial
-    sums only. The ranks of each turn, one row per node, are written to the shared folder: every
-    turn starts from a short plan, and losing an executor replays one turn at most.
+    sums only. Every few turns the ranks, one row per node, are written to the shared folder: plans stay
+    short, and losing an executor replays those few turns at most.
     """
     walk = _prepare(g, alpha, nodes)
-    walk.links = walk.links.repartition("i", "cut").sortWithinPartitions("i", "cut")
+    if not iterations:
+        return _ranks(walk, walk.nodes)
+    tasks = max(g.df.sparkSession.sparkContext.defaultParallelism, math.ceil(walk.size / EDGES_PER_TASK))
+    walk.links = walk.links.repartition(tasks, "i", "cut").sortWithinPartitions("i", "cut")
     walk.links = walk.links.persist(StorageLevel.MEMORY_AND_DISK)
     walk.nodes = walk.nodes.persist(StorageLevel.MEMORY_AND_DISK)
-    state = walk.nodes.select("i", "v", "cuts")
-    for _ in range(iterations):
-        state = write_through(_turn(walk, state), "ranks")
-    if iterations:
+    try:
+        state = walk.nodes.select("i", "v", "cuts")
+        for turn in range(1, iterations + 1):
+            state = _turn(walk, state)
+            if turn % TURNS_PER_WRITE == 0 or turn == iterations:
+                state = write_through(state, "ranks")
+    finally:
         walk.links.unpersist()
         walk.nodes.unpersist()
     return _ranks(walk, state)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellframe.model import CooMatrix, CooTensor, DenseRows, PackedMatrix, Vector
+from cellframe.session import write_through
 
 MAX_CELLS = 1_000_000
 
@@ -27,53 +28,66 @@ def repartition_matrix(m: CooMatrix, n: int, *keys: str) -> CooMatrix:
     return m.with_df(m.df.repartition(n, *keys))
 
 
-def _pack(df: DataFrame, key: str, other: str, max_cells: int, longest: int | None) -> DataFrame:
-    cell = F.struct(other, "v")
+def _pack(df: DataFrame, keys: list[str], other: str, max_cells: int, longest: int | None) -> DataFrame:
+    """``<keys, seg, cells>``: the cells of each key in order of (other, v), ``max_cells`` to a record.
+
+    Record ``seg`` starts at position seg * max_cells of its key.
+    """
     if longest is None:
-        longest = df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        longest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    whole = F.sort_array(F.collect_list(F.struct(other, "v"))).alias("cells")
     if longest <= max_cells:
-        return df.groupBy(key).agg(
-            F.lit(0).cast("bigint").alias("seg"), F.sort_array(F.collect_list(cell)).alias("cells"),
-        )
-    # Some row is too long for one record. Equal cells are counted before they move, the count
-    # is cut into runs, and a long row's runs are dealt over segments by hash.
-    run = max(1, max_cells // 8)
-    copies = df.groupBy(key, other, "v").agg(F.count("*").alias("n"))
-    lengths = df.groupBy(key).agg(F.count("*").alias("total"))
-    segments = F.when(
-        F.col("total") > max_cells, F.ceil(2 * F.col("total") / F.lit(max_cells))
-    ).otherwise(F.lit(1))
-    runs = (
-        copies.join(lengths, key)
-        .withColumn("c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {run}"))))
-        .select(
-            key, other, "v",
-            F.least(F.lit(run), F.col("n") - F.col("c") * run).cast("int").alias("len"),
-            F.pmod(F.xxhash64(other, "v", "c"), segments).cast("bigint").alias("seg"),
-        )
-    )
+        return df.groupBy(*keys).agg(F.lit(0).cast("bigint").alias("seg"), whole)
+    # Some key has too many cells for one record. Lengths are written first, so that Spark splits such a
+    # key in the joins with them.
+    lengths = write_through(df.groupBy(*keys).agg(F.count("*").alias("total")), "lengths")
+    long_keys = lengths.where(F.col("total") > max_cells).select(*keys)
+    short = df.join(lengths.where(F.col("total") <= max_cells).select(*keys), keys, "left_semi")
+    short = short.groupBy(*keys).agg(F.lit(0).cast("bigint").alias("seg"), whole)
+    # Equal cells are counted before they move. Ranges of (key, other, v) hold near equal numbers of them;
+    # a cell's position is its place in its range plus the cells of the key in earlier ranges.
+    counted = df.join(long_keys, keys, "left_semi").groupBy(*keys, other, "v").agg(F.count("*").alias("n"))
+    ranges = write_through(
+        counted.repartitionByRange(*keys, other, "v").withColumn("part", F.spark_partition_id()), "ranges")
+    in_part = Window.partitionBy(*keys, "part").orderBy(other, "v").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = write_through(ranges.groupBy(*keys, "part").agg(F.sum("n").alias("n")).withColumn(
+        "before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n"), "before")
+    start = F.col("before") + F.coalesce(F.sum("n").over(in_part), F.lit(0))
+    placed = ranges.join(before, [*keys, "part"]).select(*keys, other, "v", "n", start.alias("start"))
+    runs = placed.select(*keys, other, "v", "n", "start", F.explode(F.sequence(
+        F.expr(f"start div {max_cells}"), F.expr(f"(start + n - 1) div {max_cells}"))).alias("seg"))
+    low, high = F.greatest("start", F.col("seg") * max_cells), F.least(F.col("start") + F.col("n"), (F.col("seg") + 1) * max_cells)
     repeated = F.flatten(F.transform(
         "runs", lambda x: F.array_repeat(F.struct(x[other].alias(other), x["v"].alias("v")), x["len"])))
-    return (
-        runs.groupBy(key, "seg")
-        .agg(F.sort_array(F.collect_list(F.struct(other, "v", "len"))).alias("runs"))
-        .select(key, "seg", repeated.alias("cells"))
+    cut = (
+        runs.withColumn("len", (high - low).cast("int"))
+        .groupBy(*keys, "seg").agg(F.sort_array(F.collect_list(F.struct(other, "v", "len"))).alias("runs"))
+        .select(*keys, "seg", repeated.alias("cells"))
     )
+    return short.unionByName(cut)
+
+
+def positions(packed: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
+    """Packed records opened: ``pos`` is a cell's place among all cells of its key, and ``c`` the cell."""
+    kept = [c for c in packed.columns if c not in ("seg", "cells")]
+    return packed.select(*kept, "seg", F.posexplode("cells").alias("at", "c")).select(
+        *kept, (F.col("seg") * max_cells + F.col("at")).alias("pos"), "c")
 
 
 def pack_rows(m: CooMatrix, max_cells: int = MAX_CELLS, longest: int | None = None) -> PackedMatrix:
     """One record per row, its cells sorted by column, duplicates kept.
 
-    A row with more than ``max_cells`` cells is held in several records (``seg`` 0, 1, ...), each
-    sorted, so that no task has to hold an unbounded row. ``longest`` is the length of the longest
+    A row with more than ``max_cells`` cells is held in several records (``seg`` 0, 1, ...), consecutive
+    stretches of it, so that no task has to hold an unbounded row. ``longest`` is the length of the longest
     row; it is counted when not given.
     """
-    return PackedMatrix(_pack(m.df, "i", "j", max_cells, longest), m.n_rows, m.n_cols, "row", m.unique, m)
+    return PackedMatrix(_pack(m.df, ["i"], "j", max_cells, longest), m.n_rows, m.n_cols, "row", m.unique, m)
 
 
 def pack_cols(m: CooMatrix, max_cells: int = MAX_CELLS, longest: int | None = None) -> PackedMatrix:
     """One record per column, its cells sorted by row; see :func:`pack_rows`."""
-    return PackedMatrix(_pack(m.df, "j", "i", max_cells, longest), m.n_rows, m.n_cols, "col", m.unique, m)
+    return PackedMatrix(_pack(m.df, ["j"], "i", max_cells, longest), m.n_rows, m.n_cols, "col", m.unique, m)
 
 
 def unpack(p: PackedMatrix) -> CooMatrix:
@@ -114,15 +128,12 @@ def merge_tensor(t: CooTensor) -> CooTensor:
 def tensor_fibers(t: CooTensor, target: int, max_cells: int = MAX_CELLS) -> DataFrame:
     """Group a tensor by all modes but ``target``: ``<other modes, seg, cells ARRAY<STRUCT<t, v>>>``.
 
-    Duplicates are summed and cells sorted by t. After the sum a fiber has at most
-    ``shape[target]`` cells; ``seg`` cuts that range into blocks of ``max_cells`` ids.
+    Duplicates are summed and cells sorted by t. A fiber with more than ``max_cells`` cells, which takes a
+    mode that long, is held in several consecutive records.
     """
     prefix = [c for m, c in enumerate(t.modes) if m != target]
-    cell = F.struct(F.col(f"i{target}").alias("t"), "v")
-    block = F.lit(0).cast("bigint")
-    if t.shape[target] > max_cells:
-        block = F.expr(f"i{target} div {max_cells}")
-    return (
-        merge_tensor(t).df.groupBy(*prefix, block.alias("seg"))
-        .agg(F.sort_array(F.collect_list(cell)).alias("cells"))
-    )
+    cells = merge_tensor(t).df.withColumnRenamed(f"i{target}", "t")
+    if not prefix:  # one fiber: the key is a constant
+        return _pack(cells.withColumn("_one", F.lit(0)), ["_one"], "t", max_cells, t.shape[target]).drop("_one")
+    longest = None if t.shape[target] > max_cells else t.shape[target]
+    return _pack(cells, prefix, "t", max_cells, longest)

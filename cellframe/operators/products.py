@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cellframe.model import CooMatrix, DenseRows, PackedMatrix, Vector
 from cellframe.operators.layout import csr_row_dot, pack_cols, pack_rows, unpack
 from cellframe.plans import fanout
+from cellframe.session import write_through
 
 FORMATS = ("coo", "csr", "csc", "csr_csc")
 # Whole-stage code generation stops at 100 columns (spark.sql.codegen.maxFields).
@@ -25,7 +26,8 @@ def require_compatible(op: str, left: tuple[int, int], right: tuple[int, int]) -
 def _entries(x: Vector) -> DataFrame:
     """x as ``<j, xv>``, one entry per index, so that the join with it has a fan-out of one."""
     df = x.df.select(F.col("i").alias("j"), F.col("v").alias("xv"))
-    return df if x.unique else df.groupBy("j").agg(F.sum("xv").alias("xv"))
+    # Sums are written first, so that Spark splits a column with very many cells in the join with them.
+    return df if x.unique else write_through(df.groupBy("j").agg(F.sum("xv").alias("xv")), "entries")
 
 
 def spmv(a: CooMatrix | PackedMatrix, x: Vector, format: str = "coo") -> Vector:
@@ -53,11 +55,9 @@ def spmv(a: CooMatrix | PackedMatrix, x: Vector, format: str = "coo") -> Vector:
 
 
 def spmv_sql(a: CooMatrix, x: Vector) -> DataFrame:
-    """A x, sparse x, as SQL text over registered views."""
-    a.register("spmv_a")
-    x.register("spmv_x")
+    """A x, sparse x, as SQL text over the two frames."""
     return a.df.sparkSession.sql(
-        "SELECT a.i, SUM(a.v * x.v) AS v FROM spmv_a a JOIN spmv_x x ON a.j = x.i GROUP BY a.i")
+        "SELECT a.i, SUM(a.v * x.v) AS v FROM {a} a JOIN {x} x ON a.j = x.i GROUP BY a.i", a=a.df, x=x.df)
 
 
 def _left(m: CooMatrix) -> DataFrame:
@@ -72,14 +72,20 @@ def _sum_cells(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("i", "j").agg(F.sum(F.col("va") * F.col("vb")).alias("v"))
 
 
-def _coo_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix) -> DataFrame:
-    left, right, keys = _spread(a, b)
+def _coo_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, fan: fanout.FanOut | None = None) -> DataFrame:
+    left, right, keys = _spread(a, b, fan)
     return _sum_cells(left.join(right, keys))
 
 
-def _spread(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix) -> tuple[DataFrame, DataFrame, list[str]]:
+def _spread(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix,
+            fan: fanout.FanOut | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     return fanout.spread(_left(_coo(a)), _right(_coo(b)), a.unique, b.unique, float(a.n_rows) * b.n_cols,
-                         _measure(a, b))
+                         fan or _measure(a, b))
+
+
+def measure_products(*pairs: tuple[CooMatrix | PackedMatrix, CooMatrix | PackedMatrix]) -> list[fanout.FanOut]:
+    """The exact sizes of several products, counted in one job."""
+    return fanout.measure_all([(_left(_counted(a)), _right(_counted(b))) for a, b in pairs])
 
 
 def _measure(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix) -> fanout.FanOut:
@@ -90,18 +96,32 @@ def _counted(m: CooMatrix | PackedMatrix) -> CooMatrix:
     return m.source if isinstance(m, PackedMatrix) and m.source is not None else _coo(m)
 
 
-def _packed_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, side: str) -> DataFrame | None:
+def _packed_by_blocks(left: DataFrame, right: DataFrame, side: str, tasks: int, fan: fanout.FanOut) -> DataFrame:
+    left, right, keys = fanout.spread_over(left, right, tasks, fan)
+    cells, other, cell = (left, right, ("j", "vb")) if side == "right" else (right, left, ("i", "va"))
+    packed = other.groupBy(*keys).agg(F.collect_list(F.struct(*cell)).alias("cells"))
+    kept = [c for c in cells.columns if c not in keys]
+    return _sum_cells(cells.join(packed, keys).selectExpr(*kept, f"inline(cells) as ({', '.join(cell)})"))
+
+
+def _packed_product(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, side: str,
+                    fan: fanout.FanOut | None = None) -> DataFrame:
     """Join single cells with packed records and open the records after the join.
 
     ``side="right"`` packs B by row, so each cell of A meets a whole row of B; ``side="left"`` packs A
-    by column. A packed record is not cut, so None sends the caller to the coordinate form when one key
-    has more pairs than a task should take, or when duplicates ought to be merged first.
+    by column. Where one key has more pairs than a task should take, the packed side is packed by block,
+    so that its records are cut, and the single cells meet each block.
     """
     left, right = _left(_coo(a)), _right(_coo(b))
-    fan = _measure(a, b)
+    fan = fan or _measure(a, b)
+    merging = fan.pairs_per_cell > fanout.MERGE_RATIO and not (a.unique and b.unique)
+    if merging:
+        left = left if a.unique else fanout.merge_cells(left, "i", "va")
+        right = right if b.unique else fanout.merge_cells(right, "j", "vb")
+        fan = fanout.measure(left, right)
     tasks = fanout.task_count(left.sparkSession, fan.load)
-    if tasks and (fan.widest > fanout.task_limit(fan, tasks) or fan.pairs_per_cell > fanout.MERGE_RATIO):
-        return None
+    if merging or tasks and fan.widest > fanout.task_limit(fan, tasks):
+        return _packed_by_blocks(left, right, side, max(1, tasks), fan)
     if side == "right":
         rows = b if isinstance(b, PackedMatrix) and b.axis == "row" else pack_rows(
             _coo(b), longest=fan.longest_right)
@@ -129,30 +149,27 @@ def _coo(m: CooMatrix | PackedMatrix) -> CooMatrix:
 
 
 def spmm(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix, format: str = "coo",
-         partitions: int | None = None) -> CooMatrix:
+         partitions: int | None = None, fan: fanout.FanOut | None = None) -> CooMatrix:
     """C = A B for sparse A and B, by layout; every layout gives the same matrix.
 
     "coo" joins cells with cells; "csr" joins cells of A with packed rows of B; "csc" joins packed
-    columns of A with cells of B; "csr_csc" takes A by rows and B by columns, both of which are opened
-    for the join. A cell is present when at least one product fell on it, even if they cancel
-    to 0.0. ``partitions`` fixes the number of join tasks instead of deriving it from the work.
+    columns of A with cells of B; "csr_csc" takes A packed by rows and B by columns, and since
+    neither is packed by the shared index, joins their cells. A cell is present when at least one product fell on it, even if they cancel
+    to 0.0. ``partitions`` fixes the number of join tasks instead of deriving it from the work; ``fan`` is
+    the product's measurement, if it has been made.
     """
     if format not in FORMATS:
         raise ValueError(f"unknown format {format!r} for spmm: use one of {', '.join(FORMATS)}")
     require_compatible(f"spmm ({format})", (a.n_rows, a.n_cols), (b.n_rows, b.n_cols))
-    df = None
     if partitions is not None:
-        left, right = _left(_coo(a)), _right(_coo(b))
-        df = _sum_cells(left.repartition(partitions, "k").join(right.repartition(partitions, "k"), "k"))
+        left, right, keys = fanout.spread_over(_left(_coo(a)), _right(_coo(b)), partitions, fan or _measure(a, b))
+        df = _sum_cells(left.join(right, keys))
     elif format == "csr":
-        df = _packed_product(a, b, "right")
+        df = _packed_product(a, b, "right", fan)
     elif format == "csc":
-        df = _packed_product(a, b, "left")
-    elif format == "csr_csc":
-        a = a if isinstance(a, PackedMatrix) else pack_rows(a)
-        b = b if isinstance(b, PackedMatrix) else pack_cols(b)
-    if df is None:
-        df = _coo_product(a, b)
+        df = _packed_product(a, b, "left", fan)
+    else:
+        df = _coo_product(a, b, fan)
     return CooMatrix(df, a.n_rows, b.n_cols, unique=True)
 
 
@@ -162,13 +179,11 @@ def spmm_sorted(a: CooMatrix, b: CooMatrix) -> DataFrame:
 
 
 def spmm_sql(a: CooMatrix, b: CooMatrix) -> DataFrame:
-    """A B as SQL text over registered views, which are laid out for the join."""
+    """A B as SQL text over the two frames, which are laid out for the join."""
     require_compatible("spmm (sql)", (a.n_rows, a.n_cols), (b.n_rows, b.n_cols))
     left, right, keys = _spread(a, b)
-    left.createOrReplaceTempView("spmm_a")
-    right.createOrReplaceTempView("spmm_b")
     return left.sparkSession.sql(
-        f"SELECT i, j, SUM(va * vb) AS v FROM spmm_a JOIN spmm_b USING ({', '.join(keys)}) GROUP BY i, j")
+        "SELECT i, j, SUM(va * vb) AS v FROM {a} JOIN {b} USING (" + ", ".join(keys) + ") GROUP BY i, j", a=left, b=right)
 
 
 def sum_rows(df: DataFrame, key: str, terms, width: int) -> DataFrame:

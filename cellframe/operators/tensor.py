@@ -15,50 +15,52 @@ from cellframe.operators.products import sum_rows
 def require_factors(t: CooTensor, factors: Sequence[DenseRows], mode: int) -> int:
     """Check the factors against the tensor and return their rank."""
     if len(factors) != t.order:
-        raise ValueError("Need one factor matrix per tensor mode")
+        raise ValueError(f"got {len(factors)} factors for a tensor of order {t.order}")
     if not 0 <= mode < t.order:
-        raise ValueError(f"Target mode {mode} outside tensor order {t.order}")
+        raise ValueError(f"there is no mode {mode} in a tensor of order {t.order}")
     rank = factors[0].n_cols
     for m, factor in enumerate(factors):
         if factor.n_cols != rank:
-            raise ValueError("All factor matrices must have the same column count (rank)")
+            raise ValueError(f"factors differ in rank: mode {m} has {factor.n_cols} columns, mode 0 has {rank}")
         if factor.n_rows != t.shape[m]:
-            raise ValueError(f"Factor matrix for mode {m} has {factor.n_rows} rows, expected {t.shape[m]}")
+            raise ValueError(f"the factor of mode {m} needs {t.shape[m]} rows but has {factor.n_rows}")
     return rank
 
 
-def _join_factors(df: DataFrame, factors: Sequence[DenseRows], modes: Sequence[int]) -> DataFrame:
-    """Look up each mode's factor row as column f<m>. A factor has one row per id, so no join fans out."""
-    for m in modes:
-        rows = factors[m].df.select(F.col("i").alias(f"i{m}"), F.col("row").alias(f"f{m}"))
-        df = df.join(rows, f"i{m}")
-    return df
-
+def _join_factors(df: DataFrame, factors: Sequence[DenseRows], modes: Sequence[int], rank: int) -> DataFrame:
+    """Look up each mode's factor row and carry one array ``p``, their product so far.
 
-def _product(modes: Sequence[int], r):
-    value = F.lit(1.0)
-    for m in modes:
-        value = value * F.get(f"f{m}", r)
-    return value
+    A factor has one row per id, so no join fans out. A row that is too short is an error.
+    """
+    for n, m in enumerate(modes):
+        rows = factors[m].df.select(F.col("i").alias(f"i{m}"), F.col("row").alias("f"))
+        short = F.coalesce(F.size("f"), F.lit(0)) < rank
+        fail = F.raise_error(F.concat(F.lit(f"a row of factor {m} is shorter than {rank}: id "), F.col(f"i{m}").cast("string")))
+        rows = rows.where(F.when(short, fail).otherwise(F.lit(True)))
+        product = F.zip_with("p", "f", lambda x, y: x * y) if n else F.col("f")
+        kept = [c for c in df.columns if c not in ("p", f"i{m}")]
+        df = df.join(rows, f"i{m}").select(*kept, product.alias("p"))
+    return df
 
 
 def mttkrp(t: CooTensor, factors: Sequence[DenseRows], mode: int, method: str = "fiber") -> DenseRows:
     """out[t, r] = sum over entries of v * product over the other modes m of F_m[i_m, r].
 
     ``method="coo"`` looks factors up per entry; ``method="fiber"`` first groups the entries that
-    differ only in the target index, looks factors up once per group and then opens it. Target
+    differ only in the target index, looks factors up and multiplies them once per group, and then
+    opens it. Target
     ids that do not occur in the tensor are absent. The target's own factor is only checked.
     """
     rank = require_factors(t, factors, mode)
     others = [m for m in range(t.order) if m != mode]
     if method == "coo":
         target = f"i{mode}"
-        joined = _join_factors(t.df, factors, others)
+        joined = _join_factors(t.df, factors, others, rank)
     elif method == "fiber":
         target = "t"
-        fibers = _join_factors(tensor_fibers(t, mode), factors, others)
-        joined = fibers.selectExpr(*[f"f{m}" for m in others], "inline(cells) as (t, v)")
+        fibers = _join_factors(tensor_fibers(t, mode), factors, others, rank)
+        joined = fibers.selectExpr(*["p"] * bool(others), "inline(cells) as (t, v)")
     else:
         raise ValueError(f"unknown method {method!r} for mttkrp: use 'fiber' or 'coo'")
-    rows = sum_rows(joined, target, lambda r: F.col("v") * _product(others, r), rank)
+    rows = sum_rows(joined, target, lambda r: F.col("v") * F.get("p", r) if others else F.col("v"), rank)
     return DenseRows(rows.withColumnRenamed(target, "i"), t.shape[mode], rank)

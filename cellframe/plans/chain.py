@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellframe.model import CooMatrix
-from cellframe.operators.products import spmm
+from cellframe.operators.products import measure_products, spmm
 from cellframe.session import write_through
 
+# The names of the plans in results.
 AB_FIRST = "AB_then_C"
 BC_FIRST = "A_then_BC"
 
@@ -62,13 +63,25 @@ def _kept(m: CooMatrix) -> CooMatrix:
     return m.with_df(write_through(m.df, "chain"))
 
 
+def _expected(nnz_a: int, cols_a: int, nnz_b: int, rows_b: int) -> float:
+    """:func:`est_pairs` of counts that are known."""
+    return nnz_a / cols_a * (nnz_b / rows_b) * min(cols_a, rows_b) if cols_a and rows_b else 0.0
+
+
 def spmm_chain3(a: CooMatrix, b: CooMatrix, c: CooMatrix, format: str = "coo",
                 order: str | None = None) -> CooMatrix:
-    """A B C, the cheaper product first; ``order`` overrides the choice."""
+    """A B C, the cheaper product first; ``order`` overrides the choice.
+
+    One job counts all three matrices by shared index: the order and the layout of the first product
+    come from the same counts.
+    """
+    if order not in (None, AB_FIRST, BC_FIRST):
+        raise ValueError(f"unknown order {order!r}: use {AB_FIRST!r} or {BC_FIRST!r}")
+    ab, bc = measure_products((a, b), (b, c))
     if order is None:
-        order = chain_plan(a, b, c).first()["plan"]
+        cost_ab = _expected(ab.left_cells, a.n_cols, ab.right_cells, b.n_rows)
+        cost_bc = _expected(bc.left_cells, b.n_cols, bc.right_cells, c.n_rows)
+        order = AB_FIRST if cost_ab <= cost_bc else BC_FIRST
     if order == AB_FIRST:
-        return spmm(_kept(spmm(a, b, format)), c, format)
-    if order == BC_FIRST:
-        return spmm(a, _kept(spmm(b, c, format)), format)
-    raise ValueError(f"unknown order {order!r}: use {AB_FIRST!r} or {BC_FIRST!r}")
+        return spmm(_kept(spmm(a, b, format, fan=ab)), c, format)
+    return spmm(a, _kept(spmm(b, c, format, fan=bc)), format)

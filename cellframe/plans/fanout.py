@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 PAIRS_PER_TASK = 16_000_000
 MIN_PAIRS_PER_TASK = 500_000
-TASKS_PER_CORE = 32
 CELL_BYTES = 56  # a cell in a broadcast hash table
 BROADCAST_BYTES = 64 * 1024 * 1024
 SUMS_PER_TASK = 32_000  # half of what the generated hash table of an aggregate holds
@@ -59,32 +58,48 @@ def _work() -> Column:
 
 def measure(left: DataFrame, right: DataFrame) -> FanOut:
     """Count the cells per key ``k`` on both sides, in one small job."""
+    return measure_all([(left, right)])[0]
+
+
+def measure_all(products: list[tuple[DataFrame, DataFrame]]) -> list[FanOut]:
+    """The same for several products, still in one job."""
     one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    per_key = (
-        left.select("k", one.alias("l"), zero.alias("r"))
-        .unionByName(right.select("k", zero.alias("l"), one.alias("r")))
-        .groupBy("k").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    )
+    sides = [
+        side.select(F.lit(n).alias("of"), "k", *counts) for n, (left, right) in enumerate(products)
+        for side, counts in ((left, (one.alias("l"), zero.alias("r"))), (right, (zero.alias("l"), one.alias("r"))))
+    ]
+    cells = sides[0]
+    for side in sides[1:]:
+        cells = cells.unionByName(side)
+    per_key = cells.groupBy("of", "k").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     pairs = F.col("l").cast("double") * F.col("r")
-    row = per_key.agg(
+    rows = {row["of"]: row for row in per_key.groupBy("of").agg(
         F.sum("l").alias("l"), F.sum("r").alias("r"), F.sum(pairs).alias("pairs"), F.max(_work()).alias("widest"),
         F.max("l").alias("max_l"), F.max("r").alias("max_r"),
-    ).na.fill(0).first()
-    return FanOut(row.l, row.r, row.pairs, row.widest, row.max_l, row.max_r, per_key)
+    ).collect()}  # a row for each product
+    return [
+        FanOut(row.l, row.r, row.pairs, row.widest, row.max_l, row.max_r, per_key.where(F.col("of") == n).drop("of"))
+        if (row := rows.get(n)) else FanOut(0, 0, 0.0, 0.0, 0, 0, per_key.where(F.col("of") == n).drop("of"))
+        for n in range(len(products))
+    ]
 
 
 def task_count(spark: SparkSession, load: float) -> int:
-    """Join tasks for that many pairs and cells: whole waves of the cores, 0 when one task would do."""
+    """Join tasks for that many pairs and cells, 0 when one task would do.
+
+    The work decides: no task gets more than PAIRS_PER_TASK, however many tasks that takes. The cores known
+    now only round the number up to whole waves, while a task keeps MIN_PAIRS_PER_TASK.
+    """
     if load <= MIN_PAIRS_PER_TASK:
         return 0
     cores = spark.sparkContext.defaultParallelism
     waves = math.ceil(load / PAIRS_PER_TASK / cores)
-    return min(cores * min(waves, TASKS_PER_CORE), math.ceil(load / MIN_PAIRS_PER_TASK))
+    return min(cores * waves, math.ceil(load / MIN_PAIRS_PER_TASK))
 
 
 def task_limit(fan: FanOut, tasks: int) -> float:
     """The most work of one key that is left in one task."""
-    return max(PAIRS_PER_TASK, fan.load / tasks)
+    return min(PAIRS_PER_TASK, max(MIN_PAIRS_PER_TASK, fan.load / tasks))
 
 
 def grid(left_cells: int, right_cells: int, limit: float) -> tuple[int, int]:
@@ -151,9 +166,9 @@ def beside_broadcast(big: DataFrame, own_id: str, small: DataFrame, fan: FanOut,
         return None
     if tasks * out_cells > 4 * big_cells:
         if _widest_row(big, own_id, small) <= max(MIN_PAIRS_PER_TASK, 2 * fan.load / tasks):
-            cores = big.sparkSession.sparkContext.defaultParallelism
-            waves = math.ceil(min(TASKS_PER_CORE, out_cells / SUMS_PER_TASK / cores))
-            return big.repartition(max(tasks, cores * waves), own_id)
+            # Enough tasks for the sums, as long as each still has work for a task.
+            sums = math.ceil(min(out_cells, fan.pairs) / SUMS_PER_TASK)
+            return big.repartition(max(tasks, min(sums, math.ceil(fan.load / MIN_PAIRS_PER_TASK))), own_id)
     if big_cells < 20 * small_cells:
         return None
     return big.repartition(tasks) if fan.pairs > 2 * big_cells else big
@@ -190,12 +205,17 @@ def spread(left: DataFrame, right: DataFrame, left_unique: bool = False, right_u
         beside = beside_broadcast(left, "i", right, fan, tasks, out_cells)
         if beside is not None:
             return beside, F.broadcast(right), ["k"]
+    if mergeable and fan.widest > task_limit(fan, tasks):
+        left, right = merged()
+    return spread_over(left, right, tasks, fan)
+
+
+def spread_over(left: DataFrame, right: DataFrame, tasks: int, fan: FanOut) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Hash both sides on k over a number of tasks, with keys of too much work cut into blocks."""
     limit = task_limit(fan, tasks)
     if fan.widest <= limit:
         return left.repartition(tasks, "k"), right.repartition(tasks, "k").hint("merge"), ["k"]
-    if mergeable:
-        left, right = merged()
-    cuts = hot_key_cuts(spark, fan, limit)
+    cuts = hot_key_cuts(left.sparkSession, fan, limit)
     keys = ["k", "lblock", "rblock"]
     left = cut_blocks(left, cuts, "l", "i", "r").repartition(tasks, *keys)
     right = cut_blocks(right, cuts, "r", "j", "l").repartition(tasks, *keys)

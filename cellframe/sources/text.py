@@ -10,6 +10,7 @@ from pyspark.sql import Window
 
 from cellframe.functions import parsing as P
 from cellframe.model import CooMatrix, CooTensor, DenseRows, Vector
+from cellframe.session import write_through
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -37,38 +38,45 @@ def read_vector(spark: SparkSession, path: str, length: int | None = None) -> Ve
     return Vector.of(_records(spark, path, ["i"]), length)
 
 
-def _numbered(spark: SparkSession, path: str, keep: Column) -> DataFrame:
-    """Kept lines with their ordinal over all files: ``<i, line>``.
+def _kept_lines(spark: SparkSession, path: str, keep: Column) -> DataFrame:
+    """``<file, start, id, line>`` of the kept lines, from one scan that is written down.
 
-    Within a block (file, start offset) the row ids of a scan rise by one per kept line. So it is
-    enough to count the kept lines per block, add the counts up over the blocks in file order,
-    and look up each line's block: no sort of the lines, and the only ordered table has one row
-    per file. The block table has one row per scan split; Spark broadcasts it while it is small
-    and otherwise shuffles the lines by block, which are of even size.
+    Where a file is cut depends on the cores at hand when a scan starts, so a second scan could be cut
+    elsewhere; everything that numbers lines reads this one. Ids rise along each block.
     """
-    lines = (
+    return write_through(
         spark.read.text(path)
         .select(
-            P.trimmed(F.col("value")).alias("line"),
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        )
-        .where(keep)
-        .withColumn("id", F.monotonically_increasing_id())
-    )
-    blocks = lines.groupBy("file", "start").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+            F.monotonically_increasing_id().alias("id"), P.trimmed(F.col("value")).alias("line"))
+        .where(keep), "lines")
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Kept lines with their ordinal over all files: ``<i, line>``.
+
+    It is enough to number the lines of each block (file, start offset), add the blocks' counts up in
+    file order, and look up each line's block: no sort of the lines over files, and the only ordered
+    table has one row per file. The block table has one row per scan split; Spark broadcasts it while it is
+    small and otherwise shuffles the lines by block, which are of even size.
+    """
+    blocks = lines.groupBy("file", "start").agg(F.count("*").alias("n"))
     in_file = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     over_files = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = blocks.groupBy("file").agg(F.sum("n").alias("total")).select(
         "file", F.coalesce(F.sum("total").over(over_files), F.lit(0)).alias("before"))
     offsets = blocks.join(files, "file").select(
-        "file", "start", "first",
-        (F.col("before") + F.coalesce(F.sum("n").over(in_file), F.lit(0))).alias("offset"))
-    return lines.join(offsets, ["file", "start"]).select(
-        (F.col("id") - F.col("first") + F.col("offset")).alias("i"), "line")
+        "file", "start", (F.col("before") + F.coalesce(F.sum("n").over(in_file), F.lit(0))).alias("offset"))
+    in_block = Window.partitionBy("file", "start").orderBy("id")
+    placed = lines.withColumn("k", F.row_number().over(in_block) - 1).join(offsets, ["file", "start"], "left")
+    lost = F.raise_error(F.concat(F.lit("a line lost its block: "), "line"))
+    return placed.where(F.when(F.col("offset").isNull(), lost).otherwise(F.lit(True))).select(
+        (F.col("k") + F.col("offset")).alias("i"), "line")
 
 
-def _line_count_and_width(spark: SparkSession, rows: DataFrame, width: Column) -> tuple[int, int]:
-    found = rows.agg(F.count("*").alias("n"), F.min_by(width, F.col("i")).alias("w")).first()
+def _line_count_and_width(lines: DataFrame, width: Column) -> tuple[int, int]:
+    """The number of lines and the width of the first one, without numbering them."""
+    found = lines.agg(F.count("*").alias("n"), F.min_by(width, F.struct("file", "start", "id")).alias("w")).first()
     if not found.n:
         raise ValueError("cannot infer dimensions: the input has no valid line")
     return int(found.n), int(found.w)
@@ -78,11 +86,12 @@ def read_dense_csv(spark: SparkSession, path: str, n_rows: int | None = None,
                    n_cols: int | None = None) -> CooMatrix:
     """A dense matrix, one row per line, as its non-zero cells. Fields that are not numbers are
     skipped. Dimensions not given are the number of lines and the width of the first one."""
-    rows = _numbered(spark, path, P.is_data(F.col("line")))
-    rows = rows.select("i", P.once(P.fields(F.col("line"), P.CELL_DELIMITERS)).alias("f"))
+    lines = _kept_lines(spark, path, P.is_data(F.col("line")))
+    fields = P.fields(F.col("line"), P.CELL_DELIMITERS)
+    rows = _numbered(lines).select("i", P.once(fields).alias("f"))
     if n_rows is None or n_cols is None:
-        lines, width = _line_count_and_width(spark, rows, F.size("f"))
-        n_rows = lines if n_rows is None else n_rows
+        count, width = _line_count_and_width(lines, F.size(fields))
+        n_rows = count if n_rows is None else n_rows
         n_cols = width if n_cols is None else n_cols
     cells = (
         rows.select("i", F.posexplode("f").alias("j", "x"))
@@ -96,16 +105,16 @@ def read_dense_rows(spark: SparkSession, path: str, n_rows: int | None = None,
                     n_cols: int | None = None) -> DenseRows:
     """A dense matrix, one comma-separated row per line, as dense rows. No comments; a field that is
     not a number is an error when the data is read."""
-    rows = _numbered(spark, path, F.col("line") != "")
-    rows = rows.select("i", "line", P.once(F.transform(
+    lines = _kept_lines(spark, path, F.col("line") != "")
+    rows = _numbered(lines).select("i", "line", P.once(F.transform(
         P.fields(F.col("line"), P.ROW_DELIMITERS), P.as_number)).alias("row"))
     bad = F.exists("row", lambda x: x.isNull())
     # In a filter the check cannot be pruned away.
     rows = rows.where(F.when(bad, F.raise_error(F.concat(F.lit("not a row of numbers: "), "line")))
                       .otherwise(F.lit(True))).select("i", "row")
     if n_rows is None or n_cols is None:
-        lines, width = _line_count_and_width(spark, rows, F.size("row"))
-        n_rows = lines if n_rows is None else n_rows
+        count, width = _line_count_and_width(lines, F.size(P.fields(F.col("line"), P.ROW_DELIMITERS)))
+        n_rows = count if n_rows is None else n_rows
         n_cols = width if n_cols is None else n_cols
     return DenseRows(rows, n_rows, n_cols)
 
@@ -119,7 +128,7 @@ def _read_shape(spark: SparkSession, path: str) -> tuple[int, ...]:
     )
     line = headers.agg(F.min_by("line", place)).first()[0]
     if line is None:
-        raise ValueError(f"Missing `# Shape:` header in {path}")
+        raise ValueError(f"no `# Shape:` line found in {path}")
     rest = re.match(P.SHAPE_HEADER, line).group(1)
     dims = [d for d in re.split(f"[{P.TENSOR_DELIMITERS}]", rest) if d]
     if not dims:

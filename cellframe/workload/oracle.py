@@ -23,11 +23,9 @@ CTES = {
     "t": f"SELECT l_suppkey AS i0, l_partkey AS i1, {MONTH} AS i2, (l_linenumber - 1)::BIGINT AS i3, "
          "l_quantity AS v FROM lineitem",
     "ranks": "SELECT unnest(range(4))::BIGINT AS r",
-    "e": f"SELECT {N_SUPPLIERS} + o_custkey AS i, l_suppkey AS j FROM lineitem JOIN orders "
-         "ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' UNION ALL "
-         f"SELECT l_suppkey AS i, {N_SUPPLIERS} + o_custkey AS j FROM lineitem JOIN orders "
-         "ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey "
-         "WHERE l_returnflag = 'A' AND s_acctbal >= 0",
+    "e": f"SELECT CASE WHEN l_returnflag = 'A' AND s_acctbal >= 0 THEN l_suppkey ELSE {N_SUPPLIERS} + o_custkey END AS i, "
+         f"CASE WHEN l_returnflag = 'A' AND s_acctbal >= 0 THEN {N_SUPPLIERS} + o_custkey ELSE l_suppkey END AS j "
+         "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey",
     "n": f"SELECT {N_SUPPLIERS} + {N_CUSTOMERS} AS n",
     "node": "SELECT unnest(range(n))::BIGINT AS i FROM n",
     "deg": "SELECT i, count(*) AS degree FROM e GROUP BY i",

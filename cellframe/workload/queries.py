@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import cellframe as cf
 from cellframe.model import CooMatrix, CooTensor, Vector
+from cellframe.operators.layout import positions
 from cellframe.session import fresh_path
 from cellframe.workload.oracle import (
     MONTH,
@@ -165,8 +166,7 @@ _mttkrp_query("mttkrp_1way", "tensor1", 1, 0, "fiber")
     "FROM (SELECT i0, i1, i2, sum(v) AS v FROM t GROUP BY ALL)")))
 def tensor_fibers(t: Tables) -> DataFrame:
     fibers = cf.tensor_fibers(t.tensor3, 1)
-    return fibers.select("i0", "i2", F.posexplode("cells").alias("pos", "c")).select(
-        "i0", "i2", _big("pos", "pos"), "c.t", "c.v")
+    return positions(fibers).select("i0", "i2", "pos", "c.t", "c.v")
 
 
 # Layouts.
@@ -174,15 +174,13 @@ def tensor_fibers(t: Tables) -> DataFrame:
 @query("coo_to_csr", with_views("a", (
     "SELECT i, (row_number() OVER (PARTITION BY i ORDER BY j, v) - 1)::BIGINT AS pos, j, v FROM a")))
 def coo_to_csr(t: Tables) -> DataFrame:
-    return cf.pack_rows(t.a).df.select("i", F.posexplode("cells").alias("pos", "c")).select(
-        "i", _big("pos", "pos"), "c.j", "c.v")
+    return positions(cf.pack_rows(t.a).df).select("i", "pos", "c.j", "c.v")
 
 
 @query("coo_to_csc", with_views("a", (
     "SELECT j, (row_number() OVER (PARTITION BY j ORDER BY i, v) - 1)::BIGINT AS pos, i, v FROM a")))
 def coo_to_csc(t: Tables) -> DataFrame:
-    return cf.pack_cols(t.a).df.select("j", F.posexplode("cells").alias("pos", "c")).select(
-        "j", _big("pos", "pos"), "c.i", "c.v")
+    return positions(cf.pack_cols(t.a).df).select("j", "pos", "c.i", "c.v")
 
 
 @query("csr_to_coo", with_views("a", "SELECT i, j, v FROM a"))
@@ -217,9 +215,9 @@ def drop_zeros(t: Tables) -> DataFrame:
     return cf.drop_zeros(t.a.with_df(discounts)).df
 
 
-@query("scale_rows", with_views("d xs", "SELECT d.i, d.r, d.v * xs.v AS v FROM d JOIN xs ON d.i = xs.i"))
+@query("scale_rows", with_views("d xd", "SELECT d.i, d.r, d.v * xd.v AS v FROM d JOIN xd ON d.i = xd.i"))
 def scale_rows(t: Tables) -> DataFrame:
-    return cf.scale_rows(t.d, t.x_sparse).cells()
+    return cf.scale_rows(t.d, t.x_dense).cells()
 
 
 # Statistics and chains.
@@ -383,10 +381,10 @@ def read_coo(t: Tables) -> DataFrame:
     return _with_dims(cf.read_coo(t.spark, path))
 
 
-@query("read_vector", with_views("xs", "SELECT i, v, (SELECT max(i) + 1 FROM xs) AS length FROM xs"))
+@query("read_vector", with_views("xd", "SELECT i, v, (SELECT max(i) + 1 FROM xd) AS length FROM xd"))
 def read_vector(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "vector")
-    cf.write_vector(t.x_sparse, path)
+    cf.write_vector(t.x_dense, path)
     x: Vector = cf.read_vector(t.spark, path)
     return x.df.select("i", "v", F.lit(x.length).cast("bigint").alias("length"))
 
@@ -414,8 +412,12 @@ def read_tensor(t: Tables) -> DataFrame:
     return cf.read_tensor(t.spark, path).df
 
 
-# Generators, sized by the tables. The values are random, so what is checked is how many there are and
-# that they lie where they should.
+# Generators, sized by the tables and joined to them. The values are random, so what is checked is how many
+# there are and that each lies on rows that the tables have.
+
+def _on_rows(cells: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    return cells.join(rows.select(F.col("i").alias(column)), column)
+
 
 @query("random_coo", (
     f"SELECT greatest(1, floor({N_SUPPLIERS} * {N_PARTS} * 0.01::DOUBLE))::BIGINT AS n, "
@@ -423,7 +425,8 @@ def read_tensor(t: Tables) -> DataFrame:
 def random_coo(t: Tables) -> DataFrame:
     m = cf.random_coo(t.spark, t.size("supplier"), t.size("part"), 0.01, seed=42)
     valid = F.col("i").between(0, m.n_rows - 1) & F.col("j").between(0, m.n_cols - 1) & F.col("v").between(0, 10)
-    return m.df.agg(F.count("*").alias("n"), F.count_if(valid & (F.col("v") < 10)).alias("valid"))
+    known = _on_rows(_on_rows(m.df, t.x_short.df, "i"), t.x_dense.df, "j")
+    return known.agg(F.count("*").alias("n"), F.count_if(valid & (F.col("v") < 10)).alias("valid"))
 
 
 @query("random_tensor", (
@@ -434,13 +437,14 @@ def random_tensor(t: Tables) -> DataFrame:
     valid = F.col("v").between(0, 1) & (F.col("v") < 1)
     for m, size in enumerate(x.shape):
         valid = valid & F.col(f"i{m}").between(0, size - 1)
-    return x.df.agg(F.count("*").alias("n"), F.count_if(valid).alias("valid"))
+    known = _on_rows(_on_rows(x.df, t.x_short.df, "i0"), t.x_dense.df, "i1")
+    return known.agg(F.count("*").alias("n"), F.count_if(valid).alias("valid"))
 
 
 @query("random_dense", (
     f"SELECT {N_PARTS} AS n, {N_PARTS} * 8 AS n_values, {N_PARTS} * 8 AS valid"))
 def random_dense(t: Tables) -> DataFrame:
-    cells = cf.random_dense(t.spark, t.size("part"), 8, seed=42).cells()
+    cells = _on_rows(cf.random_dense(t.spark, t.size("part"), 8, seed=42).cells(), t.x_dense.df, "i")
     valid = F.col("v").between(0, 1) & (F.col("v") < 1)
     return cells.agg(F.count_if(F.col("r") == 0).alias("n"), F.count("*").alias("n_values"),
                      F.count_if(valid).alias("valid"))

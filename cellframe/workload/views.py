@@ -23,11 +23,10 @@ SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
-SIZED_TOGETHER = ("supplier", "part", "month")
 
 
 class Tables:
-    """Views of one scale-factor directory. Every view covers its whole table."""
+    """Views of one scale-factor directory. All but ``x_sparse``, whose feature is its gaps, cover whole tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
@@ -43,8 +42,7 @@ class Tables:
 
     def sizes(self, *names: str) -> tuple[int, ...]:
         """Sizes of id ranges (largest id + 1), those not yet known in one job."""
-        wanted = dict.fromkeys(names + (SIZED_TOGETHER if set(names) & set(SIZED_TOGETHER) else ()))
-        missing = [n for n in wanted if n not in self._sizes]
+        missing = [n for n in dict.fromkeys(names) if n not in self._sizes]
         if missing:
             ids = [self._ids(n).select(F.lit(n).alias("name"), F.col("id").cast("bigint")) for n in missing]
             union = ids[0]
@@ -177,18 +175,18 @@ class Tables:
     def graph(self) -> CooMatrix:
         """Trade between suppliers (ids from 0) and customers (ids after the suppliers).
 
-        A customer points to the supplier of each line item it returned, and a supplier whose
-        balance is not negative points to the customer of each line item with flag A.
+        Every line item is an edge. A line item with flag A points from the supplier to the customer if the
+        supplier's balance is not negative; all others point from the customer to the supplier.
         """
         n_suppliers, n_customers = self.sizes("supplier", "customer")
         orders = self.table("orders").select("o_orderkey", (F.col("o_custkey") + n_suppliers).alias("customer"))
-        sold = self.lines.select("l_orderkey", "l_suppkey", "l_returnflag").join(
-            orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        solvent = self.table("supplier").where("s_acctbal >= 0").select("s_suppkey")
-        back = sold.where("l_returnflag = 'R'").select(
-            F.col("customer").alias("i"), F.col("l_suppkey").alias("j"), F.lit(1.0).alias("v"))
-        out = sold.where("l_returnflag = 'A'").join(
-            solvent, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi").select(
-            F.col("l_suppkey").alias("i"), F.col("customer").alias("j"), F.lit(1.0).alias("v"))
+        supplier = self.table("supplier").select("s_suppkey", "s_acctbal")
+        sold = (self.table("lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
+                .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+                .join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
+        out = (F.col("l_returnflag") == "A") & (F.col("s_acctbal") >= 0)
+        edges = sold.select(
+            F.when(out, F.col("l_suppkey")).otherwise(F.col("customer")).alias("i"),
+            F.when(out, F.col("customer")).otherwise(F.col("l_suppkey")).alias("j"), F.lit(1.0).alias("v"))
         n = n_suppliers + n_customers
-        return CooMatrix(back.unionByName(out), n, n)
+        return CooMatrix(edges, n, n)

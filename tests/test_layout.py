@@ -1,3 +1,5 @@
+import random
+
 import math
 from collections import Counter
 
@@ -82,3 +84,23 @@ def test_generators(spark):
     d = cf.random_dense(spark, 4, 3, seed=1)
     assert d.df.count() == 4 and all(len(r.row) == 3 for r in d.df.collect())
     assert len({v for r in d.df.collect() for v in r.row}) == 12
+
+
+def test_positions_over_long_rows_and_fibers(spark):
+    """Records are consecutive stretches: a long row reads in order, duplicates and all."""
+    from cellframe.operators.layout import positions
+
+    draw = random.Random(8)
+    data = [(draw.choice([0, 0, 0, 1]), draw.randrange(300), float(draw.randrange(3))) for _ in range(1500)] + [(0, 7, 1.0)] * 400
+    m = cf.CooMatrix.from_cells(spark, data, 2, 300)
+    got = positions(cf.pack_rows(m, max_cells=100).df, 100).collect()
+    for i in (0, 1):
+        mine = [(r.c.j, r.c.v) for r in sorted((r for r in got if r.i == i), key=lambda r: r.pos)]
+        assert mine == sorted((j, v) for r, j, v in data if r == i)
+        assert sorted(r.pos for r in got if r.i == i) == list(range(len(mine)))
+    entries = [((draw.randrange(2), draw.randrange(300), 0), 1.0) for _ in range(900)]
+    t = cf.CooTensor.from_entries(spark, entries, (2, 300, 1))
+    for r in (0, 1):
+        at = sorted((x.pos, x.c.t) for x in positions(cf.tensor_fibers(t, 1, max_cells=100), 100).collect() if x.i0 == r)
+        assert [x for _, x in at] == sorted({e[1] for e, _ in entries if e[0] == r})
+        assert [p for p, _ in at] == list(range(len(at)))

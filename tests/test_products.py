@@ -175,7 +175,6 @@ def test_hot_key_is_cut_into_blocks_of_bounded_work(spark, monkeypatch):
     monkeypatch.setattr(fanout, "PAIRS_PER_TASK", 100)
     monkeypatch.setattr(fanout, "MIN_PAIRS_PER_TASK", 10)
     monkeypatch.setattr(fanout, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(fanout, "TASKS_PER_CORE", 1000)
     a = [(i, 0, 1.0) for i in range(200)] + [(i, 1, 1.0) for i in range(5)]
     b = [(0, j, 1.0) for j in range(100)] + [(1, j, 1.0) for j in range(5)]
     left = spark.createDataFrame([(k, i, v) for i, k, v in a], "k bigint, i bigint, va double")
@@ -194,7 +193,6 @@ def test_hot_key_without_partners_is_spread_too(spark, monkeypatch):
     monkeypatch.setattr(fanout, "PAIRS_PER_TASK", 50)
     monkeypatch.setattr(fanout, "MIN_PAIRS_PER_TASK", 10)
     monkeypatch.setattr(fanout, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(fanout, "TASKS_PER_CORE", 1000)
     a = [(i, 99, 1.0) for i in range(600)] + [(i, i % 40, 1.0) for i in range(1200)]
     b = [(k, 0, 1.0) for k in range(40)]
     left = spark.createDataFrame([(k, i, v) for i, k, v in a], "k bigint, i bigint, va double")
@@ -213,10 +211,14 @@ def test_grid_cuts_the_longer_side_first():
     assert fanout.grid(1000, 0, 100) == (10, 1)
 
 
-def test_task_count_is_bounded(spark):
+def test_work_per_task_is_bounded(spark):
     cores = spark.sparkContext.defaultParallelism
     assert fanout.task_count(spark, 1000) == 0
-    assert fanout.task_count(spark, 1e18) == cores * fanout.TASKS_PER_CORE
+    for load in (1e9, 1e12, 1e15):
+        tasks = fanout.task_count(spark, load)
+        assert load / tasks <= fanout.PAIRS_PER_TASK
+        fan = fanout.FanOut(0, 0, load, 0, 0, 0, None)
+        assert fanout.task_limit(fan, tasks) <= fanout.PAIRS_PER_TASK
     assert 1 < fanout.task_count(spark, fanout.MIN_PAIRS_PER_TASK * 2) <= cores
 
 

@@ -3,6 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from cellframe.workload.queries import QUERIES
 from oracle_check import compare, connect
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -13,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     assert name in contract.oracle_sql(), "every query has a check"
     assert compare(spark, con, contract.queries()[name], contract.oracle_sql()[name], SF) == []

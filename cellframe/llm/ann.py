@@ -27,6 +27,8 @@ REPLICAS, REPLICA_RATIO = 6, 1.15
 PROBES, PROBE_RATIO, LEAST_OPENED = 64, 1.35, 1024
 DEGREE, BEAM = 24, 96
 BLOCK = 4096
+#: Rows searched at a time: each holds the vectors of about a hundred centroids.
+ROWS = 512
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -84,10 +86,13 @@ class CentroidGraph:
         return CentroidGraph(centroids, np.c_[np.concatenate(links), far], draw.permutation(n)[:max(1, int(n ** 0.5))])
 
     def search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, distances), nearest first, about the `width` nearest of each unit row.
+        """(centroids, distances), nearest first, about the `width` nearest of each unit row."""
+        parts = [self._search(x[at:at + ROWS], width) for at in range(0, len(x), ROWS)]
+        ids, distances = zip(*parts)
+        return np.concatenate(ids), np.concatenate(distances)
 
-        Best-first for all rows at once: in each round every row opens its nearest unopened centroids.
-        """
+    def _search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Best-first for all rows at once: in each round every row opens its nearest unopened centroids."""
         n, m = len(self.centroids), len(x)
         width = min(width, n)
         held = np.full((m, width), -1)

@@ -27,7 +27,6 @@ from pyspark.sql.types import LongType, StringType, StructType
 from xxhash import xxh3_128_digest
 
 from cellframe.llm.shingles import gram_hashes, word_hashes
-from cellframe.session import write_through
 
 WINDOW, CORE, EDGE = 20, 5, 5
 #: Occurrences of one core that a tree may hold, and windows' stretches built at a time.
@@ -258,7 +257,8 @@ def drop_repeated_passages(docs: DataFrame, joined: bool = False) -> DataFrame:
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     place = ["core", "doc_id", "version", "first"]
-    cores = write_through(known.select("doc_id", "version", "text").mapInArrow(_cores, CORES), "cores")
+    # Found twice, for the ranges and for the rows: cheaper than a written table of them.
+    cores = known.select("doc_id", "version", "text").mapInArrow(_cores, CORES)
     repeated = (cores.repartitionByRange(tasks, *place).sortWithinPartitions(*place).mapInArrow(_repeated, REPEATED)
                 .groupBy("doc_id", "version")
                 .agg(F.collect_list(F.struct("first", "windows", "tree", "cut")).alias("cores")))

@@ -1,7 +1,7 @@
 """Near-duplicate documents by MinHash: minima, bands, signature check, confirmation, components.
 
 1. One pass over the texts gives each document its number of shingles, a 128-bit key of its set, one
-   byte of each minimum (the signature) and a key for each band of minima.
+   byte of a hash of each minimum (the signature) and a key for each band of minima.
 2. Documents with equal sets are one class; its smallest doc_id stands for it from here on.
 3. Classes that share a band key are in one bucket. A bucket is not expanded into pairs: every member is
    paired with the bucket's smallest member, pairs are compared by signature, and what could be a link
@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cellframe.llm.shingles import Minima, band_keys, set_key, shingle_set
+from cellframe.llm.shingles import Minima, band_keys, set_key, shingle_set, signature_bytes
 from cellframe.llm.stars import components
 from cellframe.session import write_through
 
@@ -45,7 +45,7 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
                 shingles = shingle_set(text, words)
                 least = minima.of(shingles)
-                rows.append((doc_id, len(shingles), *set_key(shingles), (least >> np.uint32(24)).astype(np.uint8).tobytes(),
+                rows.append((doc_id, len(shingles), *set_key(shingles), signature_bytes(least),
                              band_keys(least, ROWS) if len(shingles) else []))
             columns = list(zip(*rows)) or [[]] * 6
             kinds = [pa.int64()] * 4 + [pa.binary(), pa.list_(pa.int64())]
@@ -120,20 +120,22 @@ def _dealt(members: DataFrame) -> tuple[DataFrame, list[str]]:
 def _contests(rows: pd.DataFrame, percent: int):
     """For each asking row: its place, and the places of members that could be linked to it, best first.
 
-    A pair that shares an earlier band was met there.
+    A pair that shares an earlier band, by the band's key, was met there.
     """
     least = percent / 100 - SLACK
     held = np.flatnonzero(~rows.asks.to_numpy())
-    theirs = np.frombuffer(b"".join(rows.signature.iloc[held]), np.uint8).reshape(len(held), BANDS, ROWS)
+    signatures = np.frombuffer(b"".join(rows.signature), np.uint8).reshape(len(rows), -1)
+    bands, at = np.stack(rows.bands.to_list()), rows.band_at.to_numpy()
+    theirs, their_bands = signatures[held], bands[held]
     ids, labels, minor = (rows[c].to_numpy() for c in ("doc_id", "label", "minor"))
     for q in np.flatnonzero(rows.asks.to_numpy()):
         other = np.flatnonzero((labels[held] != labels[q]) & (~minor[held] | (ids[held] > ids[q])))
-        same = theirs[other] == np.frombuffer(rows.signature.iloc[q], np.uint8).reshape(BANDS, ROWS)
-        share = same.mean(axis=(1, 2))
-        hit = (share >= least) & (same.all(axis=2).argmax(axis=1) == rows.band_at.iloc[q])
-        order = np.argsort(-share[hit], kind="stable")
+        share = (theirs[other] == signatures[q]).mean(axis=1)
+        other, share = other[share >= least], share[share >= least]
+        first = (their_bands[other] == bands[q]).argmax(axis=1) == at[q]
+        order = np.argsort(-share[first], kind="stable")
         if len(order):
-            yield int(q), held[other[hit][order]]
+            yield int(q), held[other[first][order]]
 
 
 def contested(members: DataFrame, percent: int) -> DataFrame:
@@ -220,7 +222,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
                 .select("band", "band_at", "doc_id", F.coalesce("label", "doc_id").alias("label")))
     split = by_label.groupBy("band").agg(
         F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("n > 2 AND low < high")
-    crowds = write_through(by_label.join(split.select("band"), "band", "left_semi").join(signatures, "doc_id"), "crowds")
+    crowds = write_through(by_label.join(split.select("band"), "band", "left_semi").join(members, "doc_id"), "crowds")
     open_to_links = write_through(contested(crowds, percent), "contested")
     met = crowds.join(open_to_links, ["band", "doc_id"], "left_semi").join(completed(open_to_links.select("doc_id")), "doc_id")
     links = links.unionByName(confirmed(rest, sets, percent)).unionByName(

@@ -7,6 +7,7 @@ from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+_SPREAD = 0x9E3779B1
 _BLOCK = 512
 
 
@@ -60,6 +61,11 @@ class Minima:
         return least
 
 
+def signature_bytes(minima: np.ndarray) -> bytes:
+    """One byte of each minimum, taken from a product since the minima of long texts are all small."""
+    return ((minima * np.uint32(_SPREAD)) >> np.uint32(24)).astype(np.uint8).tobytes()
+
+
 def band_keys(minima: np.ndarray, rows: int) -> list[int]:
     """A signed 64-bit key of each band of `rows` minima, different for each band."""
     data, width = minima.tobytes(), 4 * rows

@@ -264,20 +264,17 @@ def drop_repeated_passages(docs: DataFrame, joined: bool = False) -> DataFrame:
                 .agg(F.collect_list(F.struct("first", "windows", "tree", "cut")).alias("cores")))
     # The texts move once: both joins read the same exchange, which is why columns that nobody reads come along.
     stretches = known.join(repeated, ["doc_id", "version"]).mapInArrow(_stretches, STRETCHES)
+    # Read by one branch only: a second evaluation would draw other ranges, and cut other cores.
     found = (stretches.repartition(tasks, "tree").sortWithinPartitions("tree").mapInArrow(_trees, FOUND)
-             .where("doc_id IS NOT NULL AND version IS NOT NULL").groupBy("doc_id", "version").agg(F.collect_list(F.struct("first", "last", "k1", "k2")).alias("found")))
-    repeats_of = found.select("doc_id", "version", F.filter("found", lambda f: f["k1"].isNull()).alias("runs"))
-    meeting = Window.partitionBy("k1", "k2").orderBy("doc_id", "version", "first")
+             .where("doc_id IS NOT NULL AND version IS NOT NULL"))
     at = F.struct("doc_id", "version", "first")
-    later = (found.select("doc_id", "version", F.inline(F.filter("found", lambda f: f["k1"].isNotNull())))
-             .withColumn("lead", F.first(at).over(meeting)).where(at != F.col("lead"))
-             .groupBy("doc_id", "version").agg(F.collect_list(F.struct("first", "last")).alias("later")))
+    # Repeats have no key and are all to be removed; a key of their own deals them out evenly.
+    meeting = Window.partitionBy(F.coalesce("k1", F.xxhash64(at)), "k2").orderBy("doc_id", "version", "first")
+    runs = (found.withColumn("lead", F.first(at).over(meeting)).where(F.col("k1").isNull() | (at != F.col("lead")))
+            .groupBy("doc_id", "version").agg(F.collect_list(F.struct("first", "last")).alias("runs")))
     none = F.array().cast("array<struct<first:int,last:int>>")
-    rows = (known.join(repeats_of, ["doc_id", "version"], "left").join(later, ["doc_id", "version"], "left")
-            .select("doc_id", *named.values(), "text", F.concat(
-                F.transform(F.coalesce("runs", F.array().cast(repeats_of.schema["runs"].dataType)),
-                            lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last"))),
-                F.coalesce("later", none)).alias("runs")))
+    rows = (known.join(runs, ["doc_id", "version"], "left")
+            .select("doc_id", *named.values(), "text", F.coalesce("runs", none).alias("runs")))
     rows = rows.unionByName(texts.where("doc_id IS NULL").select("doc_id", *named.values(), "text", none.alias("runs")))
     fields = [f for f in rows.schema.fields if f.name not in ("text", "runs")]
     schema = StructType(fields).add("n_words", LongType()).add("n_removed", LongType()).add("kept_text", StringType())

@@ -14,9 +14,10 @@ from cellframe.llm.bpe_words import WordEncoder
 from cellframe.llm.html_text import extract_text, main_text
 from cellframe.llm.language import has_letter, identify
 from cellframe.llm.line_dedup import drop_repeated_lines
-from cellframe.llm.near_dedup import near_duplicates
+from cellframe.llm.near_dedup import BANDS, ROWS, near_duplicates
 from cellframe.llm.packing import TightestFit, best_fit_decreasing, pack_documents
 from cellframe.llm.quality import kth_largest, quality_scores, select_documents
+from cellframe.llm.shingles import Minima, shingle_set, signature_bytes
 from cellframe.llm.stars import components
 from cellframe.llm.substring_dedup import drop_repeated_passages
 
@@ -106,6 +107,47 @@ def test_links_that_only_a_third_member_shows(spark):
     assert got == {d: c for d, (_, c) in brute.near_dedup(rows, 5).items()}
 
 
+@pytest.mark.parametrize("n_words", [120, 1500, 3000])
+def test_links_beside_many_members_just_below_the_similarity(spark, n_words):
+    """Twelve pairs at 0.83, each among 60 texts at 0.75 with smaller ids that share their buckets."""
+    draw = random.Random(n_words)
+    fresh = iter(range(10 ** 9))
+
+    def changed(words, similarity):
+        """One word in five lost shingles: (n - 5c) / (n + 5c) are common after c changes far apart."""
+        out, c = list(words), round(n_words * (1 - similarity) / (1 + similarity) / 5)
+        for k in draw.sample(range(2, n_words // 5 - 2), c):
+            out[5 * k] = f"new{next(fresh)}"
+        return out
+
+    rows = []
+    for group in range(12):
+        base = [f"w{draw.randrange(10 ** 7)}" for _ in range(n_words)]
+        rows += [(1000 * group + k, " ".join(changed(base, 0.745))) for k in range(60)]
+        rows += [(1000 * group + 990, " ".join(base)), (1000 * group + 991, " ".join(changed(base, 0.83)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_duplicates(df).collect()}
+    assert [got[1000 * g + 991] for g in range(12)] == [1000 * g + 990 for g in range(12)]
+    assert all(d == c for d, c in got.items() if d % 1000 != 991)
+
+
+@pytest.mark.parametrize("n_words", [100, 1000, 20000])
+def test_signatures_of_unrelated_texts_differ(n_words):
+    minima = Minima(BANDS * ROWS)
+    one, two = (np.frombuffer(signature_bytes(minima.of(shingle_set(
+        " ".join(f"{side}{k}" for k in range(n_words)).encode(), 5))), np.uint8) for side in "ab")
+    assert (one == two).mean() < 0.05
+
+
+def test_near_dedup_of_very_long_texts(spark):
+    draw = random.Random(8)
+    base = [f"w{draw.randrange(10 ** 6)}" for _ in range(20000)]
+    rows = [(k, " ".join(base[100 * k:20000 - 150 * k])) for k in range(12)]
+    rows += [(100 + k, " ".join(f"x{draw.randrange(10 ** 6)}" for _ in range(20000))) for k in range(4)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: c for d, (_, c) in brute.near_dedup(rows, 5).items()}
+
+
 def test_components(spark):
     draw = random.Random(2)
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [
@@ -139,6 +181,17 @@ def test_substring_dedup(corpus, monkeypatch, tree):
         assert r.kept_text == " ".join(w for w, s in zip(words, stays) if s)
 
 
+def test_substring_dedup_gives_the_same_result_each_time(spark, corpus, monkeypatch):
+    """On cached input, whose partitions Spark may reorder, and with cores cut over trees and ranges."""
+    monkeypatch.setattr(substring_dedup, "TREE", 5)
+    rows, df = corpus
+    kept, want = df.cache(), brute.removed_words(rows)
+    for _ in range(12):
+        got = {r.doc_id: r.n_removed for r in drop_repeated_passages(kept).collect()}
+        assert got == {d: stays.count(False) for d, (_, stays) in want.items()}
+    kept.unpersist()
+
+
 def test_substring_dedup_keeps_the_text_between(corpus):
     rows, df = corpus
     texts, want = dict(rows), brute.removed_words(rows)

@@ -52,3 +52,27 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """
+
+RANKED_SEARCH = f"""
+WITH found AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS terms
+  FROM documents),
+counted AS (SELECT *, len(terms) AS n FROM found WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM counted),
+counts AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM counted) GROUP BY doc, term),
+asked AS (
+  SELECT item, item_id, term, count(*) AS repeats FROM (
+    SELECT item, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term
+    FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)) GROUP BY item, item_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), total),
+scored AS (
+  SELECT a.item, a.item_id, d.doc_id,
+         sum(a.repeats * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (100 - 75 + (75 * d.n * t.docs) // t.length)))) AS score
+  FROM asked a JOIN counts c ON a.term = c.term JOIN weights w ON w.term = c.term JOIN counted d ON d.doc = c.doc, total t
+  WHERE d.doc_id IS NOT NULL GROUP BY a.item, a.item_id, c.doc, d.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""

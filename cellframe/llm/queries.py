@@ -13,9 +13,11 @@ from cellframe.llm.bpe import encode_documents
 from cellframe.llm.html_text import extract_text
 from cellframe.llm.language import identify
 from cellframe.llm.line_dedup import drop_repeated_lines
+from cellframe.llm.lp_packing import pack_into_fewest
 from cellframe.llm.near_dedup import near_duplicates
 from cellframe.llm.packing import pack_documents
 from cellframe.llm.quality import quality_scores
+from cellframe.llm.ranked_search import rank_documents
 from cellframe.llm.substring_dedup import drop_repeated_passages
 from cellframe.llm.topk import top_inner_products
 
@@ -83,6 +85,14 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), is_query())
 
 
+def op11_lp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_into_fewest(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
@@ -94,10 +104,13 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
+    "op11_lp_packing": op11_lp_packing,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES = {
     "op2_line_dedup": oracles.LINE_DEDUP,
     "op9_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op10_topk": oracles.TOP_K,
+    "op13_ranked_search": oracles.RANKED_SEARCH,
 }

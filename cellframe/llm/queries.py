@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cellframe.llm import oracles
 from cellframe.llm.ann import nearest
 from cellframe.llm.bpe import encode_documents
+from cellframe.llm.hard_negatives import mine_negatives
 from cellframe.llm.html_text import extract_text
 from cellframe.llm.language import identify
 from cellframe.llm.line_dedup import drop_repeated_lines
@@ -89,6 +90,12 @@ def op11_lp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_into_fewest(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One label in seven is made wrong, as its contract asks."""
+    return mine_negatives(table(spark, sf_dir, "embeddings"), is_query(),
+                          relabel=lambda vec_id, label: F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -105,6 +112,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk": op10_topk,
     "op11_lp_packing": op11_lp_packing,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_ranked_search": op13_ranked_search,
 }
 
@@ -112,5 +120,6 @@ ORACLES = {
     "op2_line_dedup": oracles.LINE_DEDUP,
     "op9_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op10_topk": oracles.TOP_K,
+    "op12_hard_negatives": oracles.HARD_NEGATIVES,
     "op13_ranked_search": oracles.RANKED_SEARCH,
 }

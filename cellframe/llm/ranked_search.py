@@ -169,19 +169,16 @@ def _best(counted: DataFrame, index, weights: np.ndarray, n_docs: int, length: i
             .mapInArrow(stream, "place long, doc_id long, score long"))
 
 
-def _grouped(items: DataFrame) -> tuple[DataFrame, int]:
-    """items with the number of their group, and how many groups there are; no group is over INDEX_BYTES."""
-    total = items.agg(F.sum("bytes"), F.count("*")).first()
-    groups = max(1, -(-(total[0] or 0) // INDEX_BYTES))
-    while True:
-        dealt = items.withColumn("group", F.pmod(F.xxhash64("item"), F.lit(groups)).cast("int"))
-        if groups == 1:
-            return dealt, groups
-        most = dealt.groupBy("group").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")).where(
-            (F.col("bytes") > INDEX_BYTES) & (F.col("n") > 1))
-        if most.isEmpty():
-            return dealt, groups
-        groups *= 2
+def _grouped(items: DataFrame) -> tuple[DataFrame, list]:
+    """items with the number of their group, and the groups: each of INDEX_BYTES at most, and one more item."""
+    total = items.agg(F.sum("bytes")).first()[0] or 0
+    if total <= INDEX_BYTES:
+        return items.withColumn("group", F.struct(F.lit(0).alias("deal"), F.lit(0).alias("part"))), [(0, 0)] if total else []
+    deal = F.pmod(F.xxhash64("item"), F.lit(-(-total // INDEX_BYTES))).cast("int")
+    before = F.sum("bytes").over(Window.partitionBy("deal").orderBy("item")) - F.col("bytes")
+    dealt = write_through(items.withColumn("deal", deal).withColumn("part", F.floor(before / INDEX_BYTES).cast("int"))
+                          .withColumn("group", F.struct("deal", "part")).drop("deal", "part"), "item_groups")
+    return dealt, [tuple(r) for r in dealt.select("group.*").distinct().sort("deal", "part").collect()]
 
 
 def rank_documents(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
@@ -211,11 +208,8 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
         own_terms, f"item_id {kind}, terms array<binary>, repeats array<bigint>, bytes long").where("bytes > 0")
     wanted, groups = _grouped(write_through(wanted.withColumn("item", F.monotonically_increasing_id()), "items"))
     results = []
-    for group in range(groups):
-        # At most INDEX_BYTES of terms, or one item.
-        rows = wanted.where(F.col("group") == group).orderBy("item").collect()
-        if not rows:
-            continue
+    for deal, part in groups:
+        rows = wanted.where(f"group.deal = {deal} AND group.part = {part}").orderBy("item").collect()
         index = spark.sparkContext.broadcast(Index.of([
             Counter(dict(zip(map(bytes, r["terms"]), r["repeats"]))) for r in rows]))
         counted = write_through(_counted(docs, index), "term_counts")

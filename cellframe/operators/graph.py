@@ -9,17 +9,17 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellframe.model import CooMatrix, Vector
-from cellframe.session import write_through
+from cellframe.session import stored_in_buckets, write_through
 
 EDGES_PER_TASK = 4_000_000
 ALPHA = 0.85
 ITERATIONS = 10
 TURNS_PER_WRITE = 5
+RANKS_IN_MEMORY = 500_000
 POOL = -(2 ** 63)  # no graph uses this id
 
 
@@ -85,6 +85,11 @@ class _Walk:
     links: DataFrame  # <i, cut, j, w>, alpha included
     n: int
     size: int  # links, those of the pool among them
+    keys: list[str]  # what ranks and links meet on: the cut counts only where some node has several
+
+
+def _cuts(fan: Column) -> Column:
+    return F.ceil(fan / F.lit(EDGES_PER_TASK)).cast("int")
 
 
 def _prepare(g: CooMatrix, alpha: float, nodes: str) -> _Walk:
@@ -95,53 +100,49 @@ def _prepare(g: CooMatrix, alpha: float, nodes: str) -> _Walk:
     """
     spark = g.df.sparkSession
     merged = write_through(g.df.groupBy("i", "j").agg(F.count("*").alias("copies")), "edges")
-    edges = CooMatrix(merged, g.n_rows, g.n_cols)
-    # Written first, so that Spark splits a hub's edges in the join with it.
-    degree = write_through(
-        merged.groupBy("i").agg(F.sum("copies").alias("degree"), F.count("*").alias("fan")), "degree")
-    known = _nodes(edges, nodes).join(degree, "i", "left").select("i", F.coalesce("fan", F.lit(0)).alias("fan"))
+    degree = merged.groupBy("i").agg(F.sum("copies").alias("degree"), F.count("*").alias("fan"))
+    known = _nodes(CooMatrix(merged, g.n_rows, g.n_cols), nodes).join(degree, "i", "left").select(
+        "i", "degree", F.coalesce("fan", F.lit(0)).alias("fan"))
+    # Written first, so that Spark splits the edges of a hub in the joins with it.
     known = write_through(known, "nodes")
     count = known.agg(F.count("*").alias("n"), F.count_if(F.col("fan") == 0).alias("dangling"),
-                      F.coalesce(F.sum("fan"), F.lit(0)).alias("links")).first()
+                      F.coalesce(F.sum("fan"), F.lit(0)).alias("links"), F.max("fan").alias("widest")).first()
     n, dangling = count.n, count.dangling
     if n == 0:
         raise ValueError("PageRank needs at least one node")
-
-    def cuts(fan: Column) -> Column:
-        return F.ceil(fan / F.lit(EDGES_PER_TASK)).cast("int")
+    pool_cuts = max(1, -(-(n + 1) // EDGES_PER_TASK))
+    cut = pool_cuts > 1 or count.widest + 1 > EDGES_PER_TASK
 
     weight = F.lit(alpha) * F.col("copies") / F.col("degree")
-    steps = merged.join(degree, "i").select("i", cuts(F.col("fan") + 1).alias("cuts"), "j", weight.alias("w"))
-    if nodes == "range":
-        steps = steps.where(F.col("j").between(0, n - 1))
-    ends = known.where("fan = 0").select(F.col("i").alias("j"))
-    to_pool = steps.join(ends, "j", "left_semi").groupBy("i", "cuts").agg(F.sum("w").alias("w")).select(
-        "i", "cuts", F.lit(POOL).alias("j"), "w")
-    pool_cuts = max(1, -(-(n + 1) // EDGES_PER_TASK))
+    sources = known.where("fan > 0").select("i", "degree", _cuts(F.col("fan") + 1).alias("cuts"))
+    ends = known.select(F.col("i").alias("j"), (F.col("fan") == 0).alias("ends"))
+    # A link into a dangling node is one into the pool as well.
+    into = F.when(F.col("ends"), F.array("j", F.lit(POOL))).otherwise(F.array("j"))
+    steps = merged.join(sources, "i").join(ends, "j").select("i", "cuts", F.explode(into).alias("j"), weight.alias("w"))
     targets = known.select("i", F.lit(1).alias("share")).unionByName(
         spark.range(1).select(F.lit(POOL).alias("i"), F.lit(dangling).alias("share")))
     from_pool = targets.select(
         F.lit(POOL).alias("i"), F.lit(pool_cuts).alias("cuts"), F.col("i").alias("j"),
         (F.lit(alpha) * F.col("share") / F.lit(float(n))).alias("w"))
-    links = steps.unionByName(to_pool).unionByName(from_pool).select(
+    links = steps.unionByName(from_pool).select(
         "i", F.pmod(F.xxhash64("j"), "cuts").cast("int").alias("cut"), "j", "w")
     # A dangling node has no links, so it has no cut to send its rank to.
     rest = (1.0 - alpha) / n
     table = known.select(
         "i", F.lit(1.0 / n).alias("v"), F.lit(rest).alias("base"),
-        F.when(F.col("fan") > 0, cuts(F.col("fan") + 1)).otherwise(F.lit(0)).alias("cuts"))
+        F.when(F.col("fan") > 0, _cuts(F.col("fan") + 1)).otherwise(F.lit(0)).alias("cuts"))
     pool = spark.range(1).select(
         F.lit(POOL).alias("i"), F.lit(dangling / n).alias("v"), F.lit(rest * dangling).alias("base"),
         F.lit(pool_cuts).alias("cuts"))
-    return _Walk(table.unionByName(pool), links, n, count.links + 2 * n)
+    return _Walk(table.unionByName(pool), links, n, count.links + 2 * n, ["i", "cut"] if cut else ["i"])
 
 
-def _turn(walk: _Walk, state: DataFrame) -> DataFrame:
+def _turn(walk: _Walk, state: DataFrame, join: str = "merge") -> DataFrame:
     """One turn on ``<i, v, cuts>``. The constant part of each node enters the grouped sum as a row,
     which also keeps the nodes that nothing links to."""
-    sent = state.where("cuts > 0").select(
-        "i", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), "v")
-    flow = walk.links.join(sent, ["i", "cut"]).select(
+    sent = state.where("cuts > 0").select("i", "v", *[
+        F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut")] * ("cut" in walk.keys))
+    flow = walk.links.join(sent.hint(join), walk.keys).select(
         F.col("j").alias("i"), (F.col("w") * F.col("v")).alias("v"), F.lit(0).alias("cuts"))
     base = walk.nodes.select("i", F.col("base").alias("v"), "cuts")
     return flow.unionByName(base).groupBy("i").agg(F.sum("v").alias("v"), F.max("cuts").alias("cuts"))
@@ -161,26 +162,25 @@ def pagerank(g: CooMatrix, iterations: int = ITERATIONS, alpha: float = ALPHA, n
     """Ranks after a fixed number of turns: r' = alpha M^T r + (1 - alpha)/n + alpha dangling/n.
 
     ``nodes="range"`` takes every id below ``g.n_rows`` as a node; ``"endpoints"`` takes the ids
-    that occur. The links are hashed and sorted by source once, so a turn moves ranks and partial
-    sums only. Every few turns the ranks, one row per node, are written to the shared folder: plans stay
+    that occur. The links are stored once, in buckets by source. The ranks of a turn come out of their sum
+    hashed alike, so they meet the links where they are, and the partial sums are all that a turn moves.
+    Every few turns the ranks, one row per node, are written to the shared folder: plans stay
     short, and losing an executor replays those few turns at most.
     """
+    spark = g.df.sparkSession
     walk = _prepare(g, alpha, nodes)
     if not iterations:
         return _ranks(walk, walk.nodes)
-    tasks = max(g.df.sparkSession.sparkContext.defaultParallelism, math.ceil(walk.size / EDGES_PER_TASK))
-    walk.links = walk.links.repartition(tasks, "i", "cut").sortWithinPartitions("i", "cut")
-    walk.links = walk.links.persist(StorageLevel.MEMORY_AND_DISK)
-    walk.nodes = walk.nodes.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    # As many buckets as sums have partitions, unless that leaves a bucket too many links.
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(walk.size / EDGES_PER_TASK))
+    # A hash table of the ranks of a bucket where it is small; else both sides are sorted, which can spill.
+    join = "shuffle_hash" if walk.n / buckets <= RANKS_IN_MEMORY else "merge"
+    with stored_in_buckets(walk.links, buckets, walk.keys, "links") as walk.links:
         state = walk.nodes.select("i", "v", "cuts")
         for turn in range(1, iterations + 1):
-            state = _turn(walk, state)
+            state = _turn(walk, state, join)
             if turn % TURNS_PER_WRITE == 0 or turn == iterations:
                 state = write_through(state, "ranks")
-    finally:
-        walk.links.unpersist()
-        walk.nodes.unpersist()
     return _ranks(walk, state)
 
 

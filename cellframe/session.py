@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +64,28 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stored_in_buckets(df: DataFrame, buckets: int, keys: list[str], label: str) -> Iterator[DataFrame]:
+    """The rows as a table in the shared folder, one sorted file for each bucket of the keys' hash.
+
+    A join on the keys reads a bucket where it is needed and does not move it. The table and its files are
+    removed at the end.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    name = f"{label}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+     .format("parquet").saveAsTable(name))
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that fresh_path named and nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

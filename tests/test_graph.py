@@ -91,3 +91,17 @@ def test_top_prefers_the_larger_id_among_equals(spark):
 def test_unknown_node_set(spark):
     with pytest.raises(ValueError, match="unknown node set"):
         cf.pagerank(graph(spark, EDGES), nodes="all")
+
+
+def test_a_turn_moves_no_links(spark):
+    """The links are read in their buckets; what is exchanged is the first ranks and the partial sums."""
+    g = cf.CooMatrix.from_cells(spark, [(k, (3 * k + 1) % 40, 1.0) for k in range(30)], 40, 40)
+    walk = graph_module._prepare(g, 0.85, "range")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with graph_module.stored_in_buckets(walk.links, buckets, walk.keys, "links") as walk.links:
+        state = walk.nodes.select("i", "v", "cuts")
+        for turns in (1, 2, 3):
+            state = graph_module._turn(walk, state, "shuffle_hash")
+            plan = state._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == turns + 1 and "ReusedExchange" not in plan
+    assert not any(t.name.startswith("links_") for t in spark.catalog.listTables())

@@ -83,9 +83,22 @@ def _spread(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix,
                          fan or _measure(a, b))
 
 
-def measure_products(*pairs: tuple[CooMatrix | PackedMatrix, CooMatrix | PackedMatrix]) -> list[fanout.FanOut]:
-    """The exact sizes of several products, counted in one job."""
-    return fanout.measure_all([(_left(_counted(a)), _right(_counted(b))) for a, b in pairs])
+def bounded_product(a: CooMatrix, b: CooMatrix, cells_a: int, cells_b: int) -> tuple[CooMatrix, int] | None:
+    """A B laid out from the cell counts alone, and how many cells it has at most; None where that is not safe."""
+    left, right, unique_a, unique_b = _left(a), _right(b), a.unique, b.unique
+    # A small matrix with duplicates has them summed first, without which there is no bound.
+    if not unique_b and min(cells_b, a.n_cols * b.n_cols) <= fanout.MIN_PAIRS_PER_TASK:
+        right, unique_b = fanout.merge_cells(right, "j", "vb"), True
+    elif not unique_a and min(cells_a, a.n_rows * a.n_cols) <= fanout.MIN_PAIRS_PER_TASK:
+        left, unique_a = fanout.merge_cells(left, "i", "va"), True
+    cells_a = min(cells_a, a.n_rows * a.n_cols) if unique_a else cells_a
+    cells_b = min(cells_b, b.n_rows * b.n_cols) if unique_b else cells_b
+    most = fanout.most_pairs(cells_a, cells_b, unique_a, unique_b, a.n_rows, b.n_cols)
+    layout = fanout.spread_bounded(left, right, cells_a, cells_b, most)
+    if layout is None:
+        return None
+    left, right, keys = layout
+    return CooMatrix(_sum_cells(left.join(right, keys)), a.n_rows, b.n_cols, unique=True), min(most, a.n_rows * b.n_cols)
 
 
 def _measure(a: CooMatrix | PackedMatrix, b: CooMatrix | PackedMatrix) -> fanout.FanOut:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellframe.model import CooMatrix
-from cellframe.operators.products import measure_products, spmm
+from cellframe.operators.products import bounded_product, require_compatible, spmm
 from cellframe.session import write_through
 
 # The names of the plans in results.
@@ -68,20 +68,41 @@ def _expected(nnz_a: int, cols_a: int, nnz_b: int, rows_b: int) -> float:
     return nnz_a / cols_a * (nnz_b / rows_b) * min(cols_a, rows_b) if cols_a and rows_b else 0.0
 
 
+def _cell_counts(*matrices: CooMatrix) -> list[int]:
+    """Stored cells of each matrix, in one job without a shuffle of cells."""
+    tagged = [m.df.select(F.lit(n).alias("m")) for n, m in enumerate(matrices)]
+    cells = tagged[0]
+    for more in tagged[1:]:
+        cells = cells.unionByName(more)
+    counts = cells.agg(*[F.count_if(F.col("m") == n).alias(f"n{n}") for n in range(len(matrices))]).first()
+    return list(counts)
+
+
 def spmm_chain3(a: CooMatrix, b: CooMatrix, c: CooMatrix, format: str = "coo",
                 order: str | None = None) -> CooMatrix:
     """A B C, the cheaper product first; ``order`` overrides the choice.
 
-    One job counts all three matrices by shared index: the order and the layout of the first product
-    come from the same counts.
+    Cells are counted once. The counts and dimensions bound the first product, its result and the second
+    product; where the bounds are good enough to lay both out, that one count is all that runs before the
+    result. Elsewhere the cells are counted by shared index, and the intermediate is written and counted.
     """
     if order not in (None, AB_FIRST, BC_FIRST):
         raise ValueError(f"unknown order {order!r}: use {AB_FIRST!r} or {BC_FIRST!r}")
-    ab, bc = measure_products((a, b), (b, c))
+    cells_a, cells_b, cells_c = _cell_counts(a, b, c)
     if order is None:
-        cost_ab = _expected(ab.left_cells, a.n_cols, ab.right_cells, b.n_rows)
-        cost_bc = _expected(bc.left_cells, b.n_cols, bc.right_cells, c.n_rows)
+        cost_ab = _expected(cells_a, a.n_cols, cells_b, b.n_rows)
+        cost_bc = _expected(cells_b, b.n_cols, cells_c, c.n_rows)
         order = AB_FIRST if cost_ab <= cost_bc else BC_FIRST
-    if order == AB_FIRST:
-        return spmm(_kept(spmm(a, b, format, fan=ab)), c, format)
-    return spmm(a, _kept(spmm(b, c, format, fan=bc)), format)
+    first = (a, b, cells_a, cells_b) if order == AB_FIRST else (b, c, cells_b, cells_c)
+    require_compatible("spmm_chain3", (a.n_rows, a.n_cols), (b.n_rows, b.n_cols))
+    require_compatible("spmm_chain3", (b.n_rows, b.n_cols), (c.n_rows, c.n_cols))
+    bounded = bounded_product(*first) if format in ("coo", "csr_csc") else None
+    if bounded is None:
+        middle = _kept(spmm(*first[:2], format))
+    else:
+        middle, most = bounded
+        whole = bounded_product(middle, c, most, cells_c) if order == AB_FIRST else bounded_product(a, middle, cells_a, most)
+        if whole is not None:
+            return whole[0]
+        middle = _kept(middle)
+    return spmm(middle, c, format) if order == AB_FIRST else spmm(a, middle, format)

@@ -27,6 +27,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SUMS_PER_TASK = 32_000  # half of what the generated hash table of an aggregate holds
 # Merging duplicates costs one shuffle of the cells, twice; it pays once a cell meets this many partners.
 MERGE_RATIO = 256
+# Pairs per cell up to which a bound on the pairs may stand for their count.
+BOUND_RATIO = 64
 
 
 @dataclass(frozen=True)
@@ -140,6 +142,36 @@ def cut_blocks(df: DataFrame, cuts: DataFrame, own: str, own_id: str, other: str
     )
 
 
+def most_pairs(left_cells: int, right_cells: int, left_unique: bool, right_unique: bool, n_rows: int, n_cols: int) -> int:
+    """Pairs that a product with ``n_rows`` and ``n_cols`` has at most, whatever its keys are.
+
+    A cell meets no more cells of a matrix without duplicates than that has output ids.
+    """
+    most = left_cells * right_cells
+    if right_unique:
+        most = min(most, left_cells * n_cols)
+    if left_unique:
+        most = min(most, right_cells * n_rows)
+    return most
+
+
+def spread_bounded(left: DataFrame, right: DataFrame, left_cells: int, right_cells: int, most: int) \
+        -> tuple[DataFrame, DataFrame, list[str]] | None:
+    """A layout from cell counts and :func:`most_pairs` alone, or None where the keys have to be counted.
+
+    It is good where the bound cannot be far off, since the number of tasks follows it, and where no hot key
+    matters: one task does it all, or the smaller side is broadcast and the other one is not hashed.
+    """
+    tasks = task_count(left.sparkSession, most + left_cells + right_cells)
+    if not tasks:
+        return left, right, ["k"]
+    if most > BOUND_RATIO * (left_cells + right_cells) or min(left_cells, right_cells) * CELL_BYTES > BROADCAST_BYTES:
+        return None
+    if left_cells < right_cells:
+        return F.broadcast(left), right.repartition(tasks) if most > 2 * right_cells else right, ["k"]
+    return left.repartition(tasks) if most > 2 * left_cells else left, F.broadcast(right), ["k"]
+
+
 def merge_cells(df: DataFrame, key: str, value: str) -> DataFrame:
     """Sum the duplicates of (k, key)."""
     return df.groupBy("k", key).agg(F.sum(value).alias(value))

@@ -279,3 +279,27 @@ def test_local_vectors_match_sparse_ones(spark, a3):
     ys = [cf.spmv(a3, v, format=f) for v, f in itertools.product([x, dense], ["coo", "csr"])]
     for y in ys[1:]:
         assert cf.vector_max_diff(ys[0], y).first().max_diff <= 1e-6
+
+
+@pytest.mark.parametrize("order", [None, "AB_then_C", "A_then_BC"])
+@pytest.mark.parametrize("limit", [500_000, 3])
+def test_chain_laid_out_from_bounds(spark, monkeypatch, order, limit):
+    """With duplicates, hot rows and columns; small enough for one task, and with tasks and a broadcast."""
+    monkeypatch.setattr(fanout, "MIN_PAIRS_PER_TASK", limit)
+    rnd = random.Random(9)
+    draw = lambda n, r, c: [(rnd.choice([0, rnd.randrange(r)]), rnd.choice([0, rnd.randrange(c)]), float(rnd.randint(1, 4))) for _ in range(n)]
+    a, b, c = draw(60, 20, 5), draw(40, 5, 20), draw(50, 20, 4)
+    want = {}
+    for i, k, x in a:
+        for k2, m, y in b:
+            for m2, j, z in c:
+                if k == k2 and m == m2:
+                    want[i, j] = want.get((i, j), 0.0) + x * y * z
+    matrices = [cf.CooMatrix.from_cells(spark, m, *s) for m, s in ((a, (20, 5)), (b, (5, 20)), (c, (20, 4)))]
+    assert cells(cf.spmm_chain3(*matrices, order=order)) == want
+
+
+def test_pairs_are_bounded_by_unique_sides():
+    assert fanout.most_pairs(10, 20, False, False, 5, 6) == 200
+    assert fanout.most_pairs(10, 20, False, True, 5, 6) == 60
+    assert fanout.most_pairs(10, 20, True, True, 2, 6) == 40

@@ -6,8 +6,10 @@ windows share, and only suffixes whose prefix occurs twice are built into trees:
 
 1. The prefix of a window is its core: of its runs of 5 words, the one with the smallest hash. Neighbour
    windows mostly have the same core, so a document has about one core for eight windows.
-2. Cores are dealt by range and sorted by core, document and position. A core that occurs once closes
-   its windows. A core with more occurrences than a tree should hold is cut into several trees.
+2. Cores are dealt by range and sorted by core, document and position. The bounds of the ranges are set
+   once, from a sample of documents, so every evaluation deals alike; a core so frequent that it is a bound
+   is spread over the ranges it touches. A core that occurs once closes its windows. A core with more
+   occurrences than a tree should hold, or with several ranges, is cut into several trees.
 3. The words of the windows with repeated cores are sent to their tree. Trees are built level by level,
    an edge of five words at a time; nodes with one suffix are leaves. In each node as deep as the window,
    all but the earliest suffix are repeats.
@@ -32,9 +34,16 @@ WINDOW, CORE, EDGE = 20, 5, 5
 #: Occurrences of one core that a tree may hold, and windows' stretches built at a time.
 TREE = 1000
 BUFFER = 20_000
-
-CORES = "core long, doc_id long, version int, first int, windows int"
-REPEATED = "doc_id long, version int, first int, windows int, tree long, cut boolean"
+#: Documents sampled for each range, and the share of their cores that are looked at.
+SAMPLED, THIN = 64, 16
+#: Bits of a core that its key keeps: few enough to be exact in a double. Cores of one key share trees.
+CORE_BITS = 52
+#: A place is the first window of a core times this, plus its number of windows (16 at most).
+PLACE = 32
+
+# A tree's number is odd if other trees hold the same core.
+CORES = "part int, core long, place long, doc_id long, version int"
+REPEATED = "doc_id long, version int, place long, tree long"
 STRETCHES = REPEATED + ", words binary"
 FOUND = "doc_id long, version int, first int, last int, k1 long, k2 long"
 WORD_SPANS = re.compile(rb"[^\x20\x09-\x0D]+").finditer
@@ -50,21 +59,40 @@ def cores_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     span = WINDOW - CORE + 1
     at = sliding_window_view(grams, span).argmin(axis=1) + np.arange(len(grams) - span + 1)
     first = np.flatnonzero(np.diff(at, prepend=-1))
-    return grams[at[first]].view(np.int64), first, np.diff(first, append=len(at))
+    return (grams[at[first]] >> np.uint64(64 - CORE_BITS)).view(np.int64), first, np.diff(first, append=len(at))
 
 
-def _cores(batches):
-    for batch in batches:
-        parts = []
-        for doc_id, version, text in zip(batch["doc_id"].to_pylist(), batch["version"].to_pylist(),
-                                         batch["text"].cast(pa.binary()).to_pylist()):
-            words = (text or b"").split()
-            if len(words) >= WINDOW:
-                core, first, windows = cores_of(words)
-                parts.append((core, np.full(len(core), doc_id), np.full(len(core), version), first, windows))
-        columns = [np.concatenate(c) for c in zip(*parts)] or [[]] * 5
-        yield _batch(columns, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()],
-                     ["core", "doc_id", "version", "first", "windows"])
+def _cores(bounds: list[int], step: int = 1):
+    """The cores of the texts, or every step-th, with their ranges."""
+    def cores(batches):
+        for batch in batches:
+            parts = []
+            for doc_id, version, text in zip(batch["doc_id"].to_pylist(), batch["version"].to_pylist(),
+                                             batch["text"].cast(pa.binary()).to_pylist()):
+                words = (text or b"").split()
+                if len(words) >= WINDOW:
+                    # Not always the first one: texts may begin alike.
+                    core, first, windows = (c[hash((doc_id, version)) % step::step] for c in cores_of(words))
+                    parts.append((core, first * PLACE + windows, np.full(len(core), doc_id), np.full(len(core), version)))
+            core, place, doc, version = [np.concatenate(c) for c in zip(*parts)] or [np.empty(0, np.int64)] * 4
+            lowest = np.searchsorted(bounds, core, "left")
+            ranges = np.searchsorted(bounds, core, "right") - lowest + 1
+            part = lowest + (gram_hashes((doc ^ place << 32).view(np.uint64), 1) % ranges.view(np.uint64)).view(np.int64)
+            yield _batch([part, core, place, doc, version],
+                         [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()],
+                         ["part", "core", "place", "doc_id", "version"])
+    return cores
+
+
+def range_bounds(known: DataFrame, ranges: int) -> list[int]:
+    """Bounds that cut the cores into even ranges, from some documents; a very frequent core is several of them."""
+    share = min(1.0, SAMPLED * ranges / max(known.count(), 1))
+    some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(share * (1 << 40)))
+    points = [k / ranges for k in range(1, ranges)]
+    if not points:
+        return []
+    cores = some.mapInArrow(_cores([], THIN), CORES)
+    return cores.agg(F.percentile_approx("core", points, 100 * ranges)).first()[0] or []
 
 
 def _repeated(batches):
@@ -86,8 +114,8 @@ def _repeated(batches):
         trees = np.cumsum(index % TREE == 0) + tree
         tree = int(trees[-1])
         keep = np.repeat((counts > 1) | cut, counts)
-        rows = rows.drop_columns(["core"]).append_column("tree", pa.array(trees, pa.int64()))
-        yield from rows.append_column("cut", pa.array(np.repeat(cut, counts))).filter(pa.array(keep)).to_batches()
+        rows = rows.drop_columns(["core"]).append_column("tree", pa.array(trees * 2 + np.repeat(cut, counts), pa.int64()))
+        yield from rows.select(["doc_id", "version", "place", "tree"]).filter(pa.array(keep)).to_batches()
 
     for batch in batches:
         if not batch.num_rows:
@@ -108,14 +136,15 @@ def _repeated(batches):
 
 def _stretches(batches):
     """The words of all windows of each repeated core."""
-    names = ["doc_id", "version", "first", "windows", "tree", "cut", "words"]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
+    names = ["doc_id", "version", "place", "tree", "words"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     for batch in batches:
         rows = []
         for doc_id, version, text, cores in zip(*(batch[c].to_pylist() for c in ("doc_id", "version", "text", "cores"))):
             words = text.encode().split()
-            rows += [(doc_id, version, c["first"], c["windows"], c["tree"], c["cut"],
-                      b" ".join(words[c["first"]:c["first"] + c["windows"] + WINDOW - 1])) for c in cores]
+            for c in cores:
+                first, windows = divmod(c["place"], PLACE)
+                rows.append((doc_id, version, c["place"], c["tree"], b" ".join(words[first:first + windows + WINDOW - 1])))
             if len(rows) >= BUFFER:
                 yield _batch(list(zip(*rows)), kinds, names)
                 rows = []
@@ -144,7 +173,7 @@ def deep_nodes(root: np.ndarray, hashes: np.ndarray, start: np.ndarray) -> tuple
 def repeats(rows: pa.Table) -> pa.RecordBatch:
     """Repeated windows of some whole trees, and the earliest windows of trees that were cut."""
     words = [w.split(b" ") for w in rows["words"].to_pylist()]
-    windows = rows["windows"].to_numpy().astype(np.int64)
+    first, windows = np.divmod(rows["place"].to_numpy(), PLACE)
     lengths = windows + WINDOW - 1
     hashes = np.concatenate([word_hashes(w) for w in words])
     stretch = np.repeat(np.arange(len(words)), windows)
@@ -152,7 +181,7 @@ def repeats(rows: pa.Table) -> pa.RecordBatch:
     start = np.repeat(np.cumsum(lengths) - lengths, windows) + within
     group = rows["tree"].to_numpy()
     doc, version = rows["doc_id"].to_numpy(), rows["version"].to_numpy()
-    first = rows["first"].to_numpy().astype(np.int64)[stretch] + within
+    first = first[stretch] + within
 
     suffix, node = deep_nodes(group[stretch], hashes, start)
     order = np.lexsort((first[suffix], version[stretch[suffix]], doc[stretch[suffix]], node))
@@ -170,7 +199,7 @@ def repeats(rows: pa.Table) -> pa.RecordBatch:
     runs = hit[begins]
     ends = hit[np.r_[begins[1:] - 1, len(hit) - 1]] if len(hit) else hit
 
-    going = np.flatnonzero(~repeated & rows["cut"].to_numpy(zero_copy_only=False)[stretch])
+    going = np.flatnonzero(~repeated & (group % 2 == 1)[stretch])
     keys = np.frombuffer(b"".join(
         xxh3_128_digest(b" ".join(words[s][w:w + WINDOW])) for s, w in zip(stretch[going].tolist(), within[going].tolist())),
         np.int64).reshape(-1, 2)
@@ -256,15 +285,14 @@ def drop_repeated_passages(docs: DataFrame, joined: bool = False) -> DataFrame:
     known = texts.where("doc_id IS NOT NULL")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    place = ["core", "doc_id", "version", "first"]
-    # Found twice, for the ranges and for the rows: cheaper than a written table of them.
-    cores = known.select("doc_id", "version", "text").mapInArrow(_cores, CORES)
-    repeated = (cores.repartitionByRange(tasks, *place).sortWithinPartitions(*place).mapInArrow(_repeated, REPEATED)
-                .groupBy("doc_id", "version")
-                .agg(F.collect_list(F.struct("first", "windows", "tree", "cut")).alias("cores")))
+    read = known.select("doc_id", "version", "text")
+    cores = read.mapInArrow(_cores(range_bounds(read, tasks)), CORES).repartitionById(tasks, "part")
+    repeated = (cores.sortWithinPartitions("core", "doc_id", "version", "place").drop("part")
+                .mapInArrow(_repeated, REPEATED)
+                .groupBy("doc_id", "version").agg(F.collect_list(F.struct("place", "tree")).alias("cores")))
     # The texts move once: both joins read the same exchange, which is why columns that nobody reads come along.
     stretches = known.join(repeated, ["doc_id", "version"]).mapInArrow(_stretches, STRETCHES)
-    # Read by one branch only: a second evaluation would draw other ranges, and cut other cores.
+    # Read by one branch only: trees are built once.
     found = (stretches.repartition(tasks, "tree").sortWithinPartitions("tree").mapInArrow(_trees, FOUND)
              .where("doc_id IS NOT NULL AND version IS NOT NULL"))
     at = F.struct("doc_id", "version", "first")

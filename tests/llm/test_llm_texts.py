@@ -192,6 +192,20 @@ def test_substring_dedup_gives_the_same_result_each_time(spark, corpus, monkeypa
     kept.unpersist()
 
 
+def test_substring_dedup_spreads_a_passage_that_most_texts_hold(spark):
+    """Its cores are bounds of several ranges, and the copies meet again."""
+    passage = [f"p{k}" for k in range(24)]
+    rows = [(d, " ".join([f"a{d}"] * (d % 3) + passage + [f"b{d}x{k}" for k in range(d % 25)])) for d in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    known = df.select("doc_id", F.hash("text").alias("version"), "text")
+    bounds = substring_dedup.range_bounds(known, 16)
+    assert bounds == sorted(bounds) and len(set(bounds)) < len(bounds) == 15
+    assert bounds == substring_dedup.range_bounds(known.repartition(3), 16)
+    want = brute.removed_words(rows)
+    got = {r.doc_id: r.n_removed for r in drop_repeated_passages(df).collect()}
+    assert got == {d: stays.count(False) for d, (_, stays) in want.items()}
+
+
 def test_substring_dedup_keeps_the_text_between(corpus):
     rows, df = corpus
     texts, want = dict(rows), brute.removed_words(rows)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cellframe.sources.random import P, Q, drawn_terms
+
 MONTH = "((year(l_shipdate) - 1995) * 12 + month(l_shipdate) - 1)::BIGINT"
 FLAG = "(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END)::BIGINT"
 N_SUPPLIERS = "(SELECT max(s_suppkey) + 1 FROM supplier)"
@@ -77,3 +79,27 @@ def pagerank_sql(turns: int, body: str) -> str:
             f"GROUP BY m.j) y ON node.i = y.i")))
     steps.append(("final", f"SELECT i, v FROM r{turns}"))
     return with_views("m node n dangling", body, steps)
+
+
+def _hash_sql(number: str, stream: int, seed: int) -> str:
+    (f1, a1), (f2, a2), (f3, a3) = drawn_terms(stream, seed)
+    first = f"(({number} % {P} * {f1} + {a1}) % {P})"
+    second = f"(({first} * ({first} + {f2}) + {a2} + ({number} >> 31)) % {Q})"
+    return f"(({second} * ({second} + {f3}) + {a3}) % {P})"
+
+
+def below_sql(number: str, n: str, stream: int, seed: int) -> str:
+    """The whole number in [0, n) that the generators draw for a record."""
+    high, low = (_hash_sql(number, 2 * stream + half, seed) for half in (0, 1))
+    return f"(({high} * {2**31} + {low}) % {n})::BIGINT"
+
+
+def uniform_sql(number: str, stream: int, seed: int) -> str:
+    """The number in [0, 1) that the generators draw for a record."""
+    high, low = (_hash_sql(number, 2 * stream + half, seed) for half in (0, 1))
+    return f"(({high} * {2**22} + ({low} >> 9))::DOUBLE / {2**53}::DOUBLE)"
+
+
+def records_sql(n: str) -> str:
+    """Record numbers as column `id`."""
+    return f"SELECT unnest(range(n))::BIGINT AS id FROM (SELECT ({n})::BIGINT AS n)"

@@ -16,8 +16,11 @@ from cellframe.workload.oracle import (
     N_MONTHS,
     N_PARTS,
     N_SUPPLIERS,
+    below_sql,
     mttkrp_sql,
     pagerank_sql,
+    records_sql,
+    uniform_sql,
     with_views,
 )
 from cellframe.workload.views import Tables
@@ -412,39 +415,40 @@ def read_tensor(t: Tables) -> DataFrame:
     return cf.read_tensor(t.spark, path).df
 
 
-# Generators, sized by the tables and joined to them. The values are random, so what is checked is how many
-# there are and that each lies on rows that the tables have.
+# Generators, sized by the tables and joined to them, cell by cell.
 
-def _on_rows(cells: DataFrame, rows: DataFrame, column: str) -> DataFrame:
-    return cells.join(rows.select(F.col("i").alias(column)), column)
+def _on_rows(cells: DataFrame, rows: DataFrame, column: str, value: str) -> DataFrame:
+    return cells.join(rows.select(F.col("i").alias(column), F.col("v").alias(value)), column)
 
 
-@query("random_coo", (
-    f"SELECT greatest(1, floor({N_SUPPLIERS} * {N_PARTS} * 0.01::DOUBLE))::BIGINT AS n, "
-    f"greatest(1, floor({N_SUPPLIERS} * {N_PARTS} * 0.01::DOUBLE))::BIGINT AS valid"))
+@query("random_coo", with_views("xshort xd", (
+    "SELECT c.i, c.j, c.v, xshort.v AS nation, xd.v AS size FROM ("
+    f"SELECT {below_sql('id', N_SUPPLIERS, 0, 42)} AS i, {below_sql('id', N_PARTS, 1, 42)} AS j, "
+    f"{uniform_sql('id', 2, 42)} * 10 AS v FROM ("
+    + records_sql(f"greatest(1, floor({N_SUPPLIERS} * {N_PARTS} * 0.01::DOUBLE))")
+    + ")) c JOIN xshort ON c.i = xshort.i JOIN xd ON c.j = xd.i")))
 def random_coo(t: Tables) -> DataFrame:
     m = cf.random_coo(t.spark, t.size("supplier"), t.size("part"), 0.01, seed=42)
-    valid = F.col("i").between(0, m.n_rows - 1) & F.col("j").between(0, m.n_cols - 1) & F.col("v").between(0, 10)
-    known = _on_rows(_on_rows(m.df, t.x_short.df, "i"), t.x_dense.df, "j")
-    return known.agg(F.count("*").alias("n"), F.count_if(valid & (F.col("v") < 10)).alias("valid"))
+    known = _on_rows(_on_rows(m.df, t.x_short.df, "i", "nation"), t.x_dense.df, "j", "size")
+    return known.select("i", "j", "v", "nation", "size")
 
 
-@query("random_tensor", (
-    f"SELECT greatest(1, floor({N_SUPPLIERS} * {N_PARTS} * {N_MONTHS} * 0.0002::DOUBLE + 0.5))::BIGINT AS n, "
-    f"greatest(1, floor({N_SUPPLIERS} * {N_PARTS} * {N_MONTHS} * 0.0002::DOUBLE + 0.5))::BIGINT AS valid"))
+@query("random_tensor", with_views("xshort xd", (
+    "SELECT c.i0, c.i1, c.i2, c.v, xshort.v AS nation, xd.v AS size FROM ("
+    f"SELECT {below_sql('id', N_SUPPLIERS, 0, 42)} AS i0, {below_sql('id', N_PARTS, 1, 42)} AS i1, "
+    f"{below_sql('id', N_MONTHS, 2, 42)} AS i2, {uniform_sql('id', 3, 42)} AS v FROM ("
+    + records_sql(f"greatest(1, floor({N_SUPPLIERS} * {N_PARTS} * {N_MONTHS} * 0.0002::DOUBLE + 0.5))")
+    + ")) c JOIN xshort ON c.i0 = xshort.i JOIN xd ON c.i1 = xd.i")))
 def random_tensor(t: Tables) -> DataFrame:
     x = cf.random_tensor(t.spark, t.tensor3.shape, 0.0002, seed=42)
-    valid = F.col("v").between(0, 1) & (F.col("v") < 1)
-    for m, size in enumerate(x.shape):
-        valid = valid & F.col(f"i{m}").between(0, size - 1)
-    known = _on_rows(_on_rows(x.df, t.x_short.df, "i0"), t.x_dense.df, "i1")
-    return known.agg(F.count("*").alias("n"), F.count_if(valid).alias("valid"))
+    known = _on_rows(_on_rows(x.df, t.x_short.df, "i0", "nation"), t.x_dense.df, "i1", "size")
+    return known.select(*x.modes, "v", "nation", "size")
 
 
-@query("random_dense", (
-    f"SELECT {N_PARTS} AS n, {N_PARTS} * 8 AS n_values, {N_PARTS} * 8 AS valid"))
+@query("random_dense", with_views("xd", (
+    "SELECT c.i, c.r, c.v, xd.v AS size FROM ("
+    f"SELECT id // 8 AS i, id % 8 AS r, {uniform_sql('id', 0, 42)} AS v FROM (" + records_sql(f"{N_PARTS} * 8")
+    + ")) c JOIN xd ON c.i = xd.i")))
 def random_dense(t: Tables) -> DataFrame:
-    cells = _on_rows(cf.random_dense(t.spark, t.size("part"), 8, seed=42).cells(), t.x_dense.df, "i")
-    valid = F.col("v").between(0, 1) & (F.col("v") < 1)
-    return cells.agg(F.count_if(F.col("r") == 0).alias("n"), F.count("*").alias("n_values"),
-                     F.count_if(valid).alias("valid"))
+    cells = cf.random_dense(t.spark, t.size("part"), 8, seed=42).cells()
+    return _on_rows(cells, t.x_dense.df, "i", "size").select("i", "r", "v", "size")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,14 +120,31 @@ def read_dense_rows(spark: SparkSession, path: str, n_rows: int | None = None,
     return DenseRows(rows, n_rows, n_cols)
 
 
-def _read_shape(spark: SparkSession, path: str) -> tuple[int, ...]:
+def _first_header(spark: SparkSession, path: str) -> str | None:
+    """The first header in file order.
+
+    It mostly stands at the top of the first file, where the search stops after a few lines. Only when
+    that file has none are the files read for it.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    if not files:
+        return None
+    name = re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(files[0]))
+    head = spark.read.text(name).select(P.trimmed(F.col("value")).alias("line")).where(
+        F.col("line").rlike(P.SHAPE_HEADER)).first()
+    if head is not None or len(files) == 1:
+        return head and head.line
     place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.col("id"))
     headers = (
         spark.read.text(path)
         .select(P.trimmed(F.col("value")).alias("line"), F.monotonically_increasing_id().alias("id"), "_metadata")
         .where(F.col("line").rlike(P.SHAPE_HEADER))
     )
-    line = headers.agg(F.min_by("line", place)).first()[0]
+    return headers.agg(F.min_by("line", place)).first()[0]
+
+
+def _read_shape(spark: SparkSession, path: str) -> tuple[int, ...]:
+    line = _first_header(spark, path)
     if line is None:
         raise ValueError(f"no `# Shape:` line found in {path}")
     rest = re.match(P.SHAPE_HEADER, line).group(1)

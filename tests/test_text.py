@@ -158,6 +158,20 @@ def test_tensor_headers(spark, folder):
     assert cf.read_tensor(spark, put(folder, "#SHAPE : 3\n2 4\n", "case.txt")).shape == (3,)
 
 
+def test_tensor_header_place(spark, folder):
+    """The first header in file order counts, wherever it stands; odd file names are no patterns."""
+    many = os.path.join(folder, "many files")
+    os.mkdir(many)
+    for name, text in (("a{1}[x] %.txt", "0 1 2\n"), ("b.txt", "1 1 3\n# Shape: 2 2\n"), ("c.txt", "# Shape: 9 9\n")):
+        with open(os.path.join(many, name), "w") as f:
+            f.write(text)
+    t = cf.read_tensor(spark, many)
+    assert t.shape == (2, 2) and sorted(map(tuple, t.df.collect())) == [(0, 1, 2.0), (1, 1, 3.0)]
+    with open(os.path.join(many, "a{1}[x] %.txt"), "w") as f:
+        f.write("# Shape: 3 3\n")
+    assert cf.read_tensor(spark, many).shape == (3, 3)
+
+
 def test_nulls_are_not_written(spark, folder):
     for write, part in (
         (cf.write_coo, cf.CooMatrix(spark.sql("SELECT 0L AS i, 1L AS j, CAST(NULL AS DOUBLE) AS v"), 2, 2)),

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellframe.model import CooMatrix, CooTensor, DenseRows, PackedMatrix, Vector
 from cellframe.session import write_through
 
 MAX_CELLS = 1_000_000
+# Values of a vector that goes to packed rows as one array: 8 MB.
+LOOKUP = 1 << 20
 
 
 def merge_duplicates(m: CooMatrix) -> CooMatrix:
@@ -75,6 +79,11 @@ def positions(packed: DataFrame, max_cells: int = MAX_CELLS) -> DataFrame:
         *kept, (F.col("seg") * max_cells + F.col("at")).alias("pos"), "c")
 
 
+def _bounded(width: int, m: CooMatrix, max_cells: int, longest: int | None) -> int | None:
+    """A bound of the longest row where the dimensions give one that needs no cut."""
+    return width if longest is None and m.unique and width <= max_cells else longest
+
+
 def pack_rows(m: CooMatrix, max_cells: int = MAX_CELLS, longest: int | None = None) -> PackedMatrix:
     """One record per row, its cells sorted by column, duplicates kept.
 
@@ -82,12 +91,12 @@ def pack_rows(m: CooMatrix, max_cells: int = MAX_CELLS, longest: int | None = No
     stretches of it, so that no task has to hold an unbounded row. ``longest`` is the length of the longest
     row; it is counted when not given.
     """
-    return PackedMatrix(_pack(m.df, ["i"], "j", max_cells, longest), m.n_rows, m.n_cols, "row", m.unique, m)
+    return PackedMatrix(_pack(m.df, ["i"], "j", max_cells, _bounded(m.n_cols, m, max_cells, longest)), m.n_rows, m.n_cols, "row", m.unique, m)
 
 
 def pack_cols(m: CooMatrix, max_cells: int = MAX_CELLS, longest: int | None = None) -> PackedMatrix:
     """One record per column, its cells sorted by row; see :func:`pack_rows`."""
-    return PackedMatrix(_pack(m.df, ["j"], "i", max_cells, longest), m.n_rows, m.n_cols, "col", m.unique, m)
+    return PackedMatrix(_pack(m.df, ["j"], "i", max_cells, _bounded(m.n_rows, m, max_cells, longest)), m.n_rows, m.n_cols, "col", m.unique, m)
 
 
 def unpack(p: PackedMatrix) -> CooMatrix:
@@ -97,18 +106,42 @@ def unpack(p: PackedMatrix) -> CooMatrix:
     return CooMatrix(cells, p.n_rows, p.n_cols, p.unique)
 
 
-def csr_row_dot(p: PackedMatrix, x: Vector) -> DataFrame:
-    """Dot product of each packed row with a dense vector: ``<i, v>``.
+def _lookup(x: Vector) -> Column:
+    """A vector of at most LOOKUP values as one array, null where it has no entry: 8 bytes a value."""
+    spark, entries = x.df.sparkSession, x.df
+    if not x.unique:
+        entries = entries.groupBy("i").agg(F.sum("v").alias("v"))
+    places = spark.range(x.length).withColumnRenamed("id", "i").join(entries, "i", "left")
+    in_order = F.sort_array(F.collect_list(F.struct("i", "v")))
+    return places.agg(F.transform(in_order, lambda e: e["v"])).scalar()
+
 
-    Packing has already put a row's cells in one task. Looking x up keeps them there when x is
-    small, and the sum by row then needs no further shuffle.
+def packed_dot(p: PackedMatrix, x: Vector) -> DataFrame:
+    """Dot product of each packed row with a sparse or dense vector: ``<i, v>``.
+
+    A vector of at most LOOKUP values goes to the rows as one array. Nothing is joined then, and since packing
+    has put a row's records in one task, opening and summing its cells needs no further shuffle. Entries
+    at or beyond the vector's length are not read. A longer vector is joined: cells are shuffled by
+    column where Spark finds the vector too large to broadcast, and summed by row.
     """
     if p.axis != "row":
-        raise ValueError("csr_row_dot needs a row-packed matrix")
+        raise ValueError("a row dot product needs a row-packed matrix")
     cells = p.df.selectExpr("i", "inline(cells) as (j, v)")
-    entries = x.df.select(F.col("i").alias("j"), F.col("v").alias("xv"))
-    term = F.col("v") * F.coalesce("xv", F.lit(0.0))
-    return cells.join(entries, "j", "left").groupBy("i").agg(F.sum(term).alias("v"))
+    if 0 < x.length <= LOOKUP:
+        at = F.when(F.col("j").between(0, x.length - 1), F.col("j").cast("int"))
+        met = cells.select("i", "v", F.get(_lookup(x), at).alias("xv"))
+        if not x.dense:
+            met = met.where("xv IS NOT NULL")
+    else:
+        entries = x.df.select(F.col("i").alias("j"), F.col("v").alias("xv"))
+        met = cells.join(entries, "j", "left" if x.dense else "inner")
+    value = F.coalesce("xv", F.lit(0.0)) if x.dense else F.col("xv")
+    return met.groupBy("i").agg(F.sum(F.col("v") * value).alias("v"))
+
+
+def csr_row_dot(p: PackedMatrix, x: Vector) -> DataFrame:
+    """Dot product of each packed row with x read as dense: every row is present; see :func:`packed_dot`."""
+    return packed_dot(p, replace(x, dense=True))
 
 
 def scale_rows(d: DenseRows, by: Vector) -> DenseRows:

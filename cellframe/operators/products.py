@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellframe.model import CooMatrix, DenseRows, PackedMatrix, Vector
-from cellframe.operators.layout import csr_row_dot, pack_cols, pack_rows, unpack
+from cellframe.operators.layout import LOOKUP, pack_cols, pack_rows, packed_dot, unpack
 from cellframe.plans import fanout
 from cellframe.session import write_through
 
@@ -41,9 +41,10 @@ def spmv(a: CooMatrix | PackedMatrix, x: Vector, format: str = "coo") -> Vector:
     if isinstance(a, CooMatrix) and format == "csr":
         a = pack_rows(a)
     if isinstance(a, PackedMatrix):
-        if x.dense and a.axis == "row":
-            return Vector(csr_row_dot(a, Vector(_entries(x).toDF("i", "v"), x.length, True, True)),
-                          a.n_rows, unique=True)
+        if a.axis == "row":
+            entries = x if x.unique or x.length <= LOOKUP else Vector(
+                _entries(x).toDF("i", "v"), x.length, x.dense, unique=True)
+            return Vector(packed_dot(a, entries), a.n_rows, unique=True)
         a = unpack(a)
     if x.dense:
         joined = a.df.join(_entries(x), "j", "left")

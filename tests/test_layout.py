@@ -1,8 +1,9 @@
 import random
-
 import math
 from collections import Counter
 
+import pytest
+
 import cellframe as cf
 from test_products import random_cells
 
@@ -86,6 +87,77 @@ def test_generators(spark):
     assert len({v for r in d.df.collect() for v in r.row}) == 12
 
 
+def test_generators_are_plain_integer_arithmetic(spark):
+    from cellframe.sources.random import P, Q, drawn_terms
+
+    def draw(number, stream, seed):
+        (f1, a1), (f2, a2), (f3, a3) = drawn_terms(stream, seed)
+        x = (number % P * f1 + a1) % P
+        x = (x * (x + f2) + a2 + (number >> 31)) % Q
+        return (x * (x + f3) + a3) % P
+
+    def below(number, n, stream, seed):
+        return (draw(number, 2 * stream, seed) * 2**31 + draw(number, 2 * stream + 1, seed)) % n
+
+    def uniform(number, stream, seed):
+        return (draw(number, 2 * stream, seed) * 2**22 + (draw(number, 2 * stream + 1, seed) >> 9)) / 2**53
+
+    found = stored(cf.random_coo(spark, 30, 2**40, 1e-11, seed=-3))
+    assert sorted(found) == sorted(
+        (below(k, 30, 0, -3), below(k, 2**40, 1, -3), uniform(k, 2, -3) * 10) for k in range(329))
+    assert len({j for _, j, _ in found}) == 329
+    rows = cf.random_dense(spark, 5, 7, seed=4).df.collect()
+    assert {r.i: r.row for r in rows} == {i: [uniform(7 * i + r, 0, 4) for r in range(7)] for i in range(5)}
+    # Far ids do not repeat near ones.
+    assert len({draw(k + (h << 31), 0, 1) for k in range(100) for h in range(100)}) > 9990
+
+
+def test_generated_numbers_are_even_and_independent(spark):
+    import pyspark.sql.functions as F
+
+    m = cf.random_coo(spark, 16, 16, 400.0, seed=11).df  # 400 cells a place
+    places = [r["n"] for r in m.groupBy("i", "j").agg(F.count("*").alias("n")).collect()]
+    assert len(places) == 256 and 160 < sum((n - 400) ** 2 / 400 for n in places) < 370
+    got = m.agg(F.avg("v").alias("mean"), F.variance("v").alias("var"), F.corr("i", "v").alias("iv"), F.corr("j", "v").alias("jv")).first()
+    assert abs(got.mean - 5) < 0.05 and abs(got["var"] - 100 / 12) < 0.15 and abs(got.iv) < 0.02 and abs(got.jv) < 0.02
+
+
+@pytest.mark.parametrize("lookup", [1 << 20, 0])
+@pytest.mark.parametrize("max_cells", [1_000_000, 100])
+@pytest.mark.parametrize("dense", [True, False])
+def test_packed_dot(spark, monkeypatch, lookup, max_cells, dense):
+    """Looked up or joined: long rows in several records, a short vector with gaps and repeated entries."""
+    from cellframe.operators import layout
+
+    monkeypatch.setattr(layout, "LOOKUP", lookup)
+    data = random_cells(17, 40, 60, 700, (0, 3)) + [(41, 59, 2.0)]
+    x = [(j, float(j % 7)) for j in range(0, 50, 3)] + [(3, 2.0)]
+    want = {}
+    for i, j, v in data:
+        met = [xv for k, xv in x if k == j]
+        if met or dense:
+            want[i] = want.get(i, 0.0) + v * sum(met)
+    m = cf.CooMatrix.from_cells(spark, data, 42, 60)
+    vector = cf.Vector.from_entries(spark, x, 50)
+    vector = cf.Vector(vector.df, 50, dense)
+    packed = cf.pack_rows(m, max_cells)
+    assert {r.i: r.v for r in layout.packed_dot(packed, vector).collect()} == want
+    assert {r.i: r.v for r in cf.spmv(packed, vector).df.collect()} == want
+    if dense:
+        assert {r.i: r.v for r in cf.csr_row_dot(packed, vector).collect()} == want
+
+
+def test_packed_dot_keeps_cells_where_packing_put_them(spark):
+    m = cf.random_coo(spark, 200, 100, 0.2, seed=5)
+    x = cf.Vector.from_values(spark, [float(k) for k in range(100)])
+    out = cf.csr_row_dot(cf.pack_rows(m), x)
+    assert out.count() == 200
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # The cells move once, to be packed; what else moves is the vector, on its way to the rows.
+    cells = plan.split("Subquery")[0] + plan[plan.index("Generate inline"):]
+    assert cells.count("Exchange") == 1 and "Join" not in cells
+
+
 def test_positions_over_long_rows_and_fibers(spark):
     """Records are consecutive stretches: a long row reads in order, duplicates and all."""
     from cellframe.operators.layout import positions

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellframe.model import CooTensor, DenseRows
 from cellframe.operators.layout import tensor_fibers
 from cellframe.operators.products import MAX_FUSED_WIDTH, sum_rows
+from cellframe.plans.lookup import look_up
 
 def require_factors(t: CooTensor, factors: Sequence[DenseRows], mode: int) -> int:
     """Check the factors against the tensor and return their rank."""
@@ -45,7 +46,7 @@ def _cell_sums(t: CooTensor, factors: Sequence[DenseRows], mode: int, others: li
     """Every cell looks up the factor rows of all other modes and sums their products by target."""
     df = t.df
     for m in others:
-        df = df.join(_checked(factors[m], m, rank), f"i{m}")
+        df = look_up(df, _checked(factors[m], m, rank), f"i{m}", factors[m].n_rows * rank, t.df)
     rows = [f"f{m}" for m in others]
     return df.groupBy(f"i{mode}").agg(*[F.sum(_product(F.col("v"), rows, r)).alias(f"s{r}") for r in range(rank)])
 
@@ -63,7 +64,8 @@ def _tree_sums(t: CooTensor, factors: Sequence[DenseRows], mode: int, others: li
     while levels:
         m = levels.pop()
         sums = [F.sum(_product(values[r], [f"f{m}"], r)).alias(f"s{r}") for r in range(rank)]
-        df = df.join(_checked(factors[m], m, rank), f"i{m}").groupBy(f"i{mode}", *[f"i{k}" for k in levels]).agg(*sums)
+        met = look_up(df, _checked(factors[m], m, rank), f"i{m}", factors[m].n_rows * rank, t.df)
+        df = met.groupBy(f"i{mode}", *[f"i{k}" for k in levels]).agg(*sums)
         values = [F.col(f"s{r}") for r in range(rank)]
     return df
 

@@ -136,3 +136,59 @@ def test_coordinate_arrays(spark):
     t = cf.CooTensor.from_entries(spark, [((0, 1), 2.0)], (2, 2))
     back = cf.CooTensor.from_coords(t.with_coords(), (2, 2))
     assert back.df.collect() == t.df.collect()
+
+
+@pytest.fixture
+def dealing(monkeypatch):
+    """Tables of any size look long rows up in tasks of 50 cells."""
+    from cellframe.plans import lookup
+
+    monkeypatch.setattr(lookup, "CELLS_PER_TASK", 50)
+    monkeypatch.setattr(lookup, "FEW_VALUES", 0)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("method", ["coo", "fiber"])
+@pytest.mark.parametrize("mode", [0, 1])
+def test_cells_are_dealt_by_their_number(spark, dealing, mode, method, hot):
+    """Missing factor rows, cells without a coordinate, and with ``hot`` ids that have too many cells for a task."""
+    rng, shape, rank = random.Random(mode), (30, 200, 40), 2
+    entries = [(tuple(rng.randrange(n) for n in shape), float(rng.randrange(9))) for _ in range(690)]
+    if hot:
+        entries += [((3, 7, 11), 1.0)] * 300 + [((n % 30, 9, 5), 2.0) for n in range(200)]
+    t = cf.CooTensor.from_entries(spark, entries, shape)
+    gaps = spark.createDataFrame([(1, None, 2, 5.0), (2, 3, None, 5.0), (None, 3, 4, 5.0)], t.df.schema)
+    gap = gaps.where(F.col(f"i{mode}").isNotNull())  # in another mode than the target: such a cell meets nothing
+    values = [[[float((7 * i + 3 * r + m) % 5 - 2) for r in range(rank)] for i in range(n)] for m, n in enumerate(shape)]
+    factors = factors_of(spark, values)
+    factors = [cf.DenseRows(f.df.where("i <> 13"), f.n_rows, rank) for f in factors]
+    out = cf.mttkrp(cf.CooTensor(t.df.unionByName(gap), shape), factors, mode, method=method)
+    want = {}
+    others = [m for m in range(3) if m != mode]
+    for at, v in entries:
+        if all(at[m] != 13 for m in others):
+            row = want.setdefault(at[mode], [0.0] * rank)
+            for r in range(rank):
+                row[r] += v * values[others[0]][at[others[0]]][r] * values[others[1]][at[others[1]]][r]
+    close(rows(out), want)
+    # Not as many tasks as there are cores or shuffle partitions, four of each, but as many as the cells need.
+    assert f", {24 if hot else 14}), REPARTITION_BY_NUM" in out.df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_many_cells_and_long_rows_are_dealt(spark, monkeypatch):
+    from cellframe.plans import lookup
+
+    cells = spark.range(1000).selectExpr("id % 10 AS i", "id AS j", "1.0D AS v")
+    rows_ = spark.range(1000).selectExpr("id AS j", "array(1.0D, 2.0D) AS row")
+
+    def dealt():
+        plan = lookup.look_up(cells, rows_, "j", 2000)._jdf.queryExecution().executedPlan().toString()
+        return "REPARTITION_BY_NUM" in plan
+
+    assert not dealt()
+    monkeypatch.setattr(lookup, "FEW_VALUES", 1999)
+    assert not dealt()
+    monkeypatch.setattr(lookup, "CELLS_PER_TASK", 100)
+    assert dealt()
+    monkeypatch.setattr(lookup, "FEW_VALUES", 2000)
+    assert not dealt()

@@ -192,3 +192,20 @@ def test_only_many_cells_and_long_rows_are_dealt(spark, monkeypatch):
     assert dealt()
     monkeypatch.setattr(lookup, "FEW_VALUES", 2000)
     assert not dealt()
+
+
+def test_difference_of_a_product_and_dealt_sums(spark, dealing):
+    rng = random.Random(4)
+    entries = [((rng.randrange(6), rng.randrange(90), rng.randrange(5)), float(rng.randrange(9))) for _ in range(400)]
+    t = cf.CooTensor.from_entries(spark, entries + [((6, 1, 1), 1.0)], (7, 90, 5))
+    values = [[[float((7 * i + 3 * r + m) % 5 - 2) for r in range(2)] for i in range(n)] for m, n in enumerate(t.shape)]
+    a = cf.CooMatrix(t.df.where("i0 < 6").selectExpr("i0 AS i", "i1 AS j", "v"), 7, 90)
+    left = cf.spmm_dense(a, cf.DenseRows.from_rows(spark, values[1]))
+    right = cf.mttkrp(t, factors_of(spark, values), 0)
+    want = {}
+    for (i, j, k), v in entries:
+        for r in range(2):
+            want[i, r] = want.get((i, r), 0.0) + v * values[1][j][r] * (1 - values[2][k][r])
+    out = cf.dense_max_diff(left, right)
+    assert out.first().max_diff == max(abs(d) for d in want.values())
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()

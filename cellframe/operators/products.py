@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cellframe.model import CooMatrix, DenseRows, PackedMatrix, Vector
 from cellframe.operators.layout import LOOKUP, pack_cols, pack_rows, packed_dot, unpack
 from cellframe.plans import fanout
+from cellframe.plans.lookup import look_up
 from cellframe.session import write_through
 
 FORMATS = ("coo", "csr", "csc", "csr_csc")
@@ -225,7 +226,7 @@ def spmm_dense(a: CooMatrix, d: DenseRows) -> DenseRows:
     """Sparse A times dense D. Rows of A that meet no row of D are absent; short rows count as 0-padded."""
     require_compatible("spmm (coo x dense)", (a.n_rows, a.n_cols), (d.n_rows, d.n_cols))
     rows = d.df.select(F.col("i").alias("j"), "row")
-    joined = a.df.join(rows, "j")
+    joined = look_up(a.df, rows, "j", d.n_rows * d.n_cols)
 
     def term(r):
         return F.col("v") * F.coalesce(F.get("row", r), F.lit(0.0))

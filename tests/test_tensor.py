@@ -194,6 +194,28 @@ def test_only_many_cells_and_long_rows_are_dealt(spark, monkeypatch):
     assert not dealt()
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_sparse_times_dense_deals_its_cells(spark, dealing, hot):
+    """Missing, repeated, short and null rows of the dense side, cells without a column, and ids of too many cells."""
+    rng = random.Random(9)
+    cells = [(rng.randrange(30), rng.randrange(200), float(rng.randrange(9))) for _ in range(690)]
+    if hot:
+        cells += [(n % 30, 7, 1.0) for n in range(300)] + [(3, 9, 2.0)] * 200
+    table = [(j, [float((7 * j + 3 * r) % 5 - 2) for r in range(2)]) for j in range(200) if j != 13]
+    table += [(7, [4.0, 1.0]), (9, [5.0]), (21, None)]
+    a = spark.createDataFrame(cells + [(1, None, 5.0)], "i bigint, j bigint, v double")
+    d = cf.DenseRows(spark.createDataFrame(table + [(None, [1.0, 1.0])], "i bigint, row array<double>"), 200, 2)
+    out = cf.spmm_dense(cf.CooMatrix(a, 30, 200), d)
+    want = {}
+    for i, j, v in cells:
+        for row in (row for k, row in table if k == j):
+            sums = want.setdefault(i, [0.0, 0.0])
+            for r, x in enumerate(row or []):
+                sums[r] += v * x
+    close(rows(out), want)
+    assert f", {24 if hot else 14}), REPARTITION_BY_NUM" in out.df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_difference_of_a_product_and_dealt_sums(spark, dealing):
     rng = random.Random(4)
     entries = [((rng.randrange(6), rng.randrange(90), rng.randrange(5)), float(rng.randrange(9))) for _ in range(400)]

@@ -1,6 +1,8 @@
 import random
 import math
+import re
 from collections import Counter
+from datetime import datetime
 
 import pytest
 
@@ -122,6 +124,67 @@ def test_generated_numbers_are_even_and_independent(spark):
     assert abs(got.mean - 5) < 0.05 and abs(got["var"] - 100 / 12) < 0.15 and abs(got.iv) < 0.02 and abs(got.jv) < 0.02
 
 
+def small_blocks(monkeypatch, few_values):
+    from cellframe.plans import lookup
+
+    for name, value in (("FEW_VALUES", few_values), ("STRETCH", 4), ("BLOCK", 16), ("LISTED", 7), ("NUMBERS_PER_TASK", 100)):
+        monkeypatch.setattr(lookup, name, value, raising=False)
+
+
+@pytest.mark.parametrize("query", ["random_tensor"])
+def test_generated_cells_are_not_moved(spark, monkeypatch, folder, query):
+    """Where Spark broadcasts no table, it moved every cell to its supplier and part."""
+    from cellframe.workload.queries import QUERIES
+    from cellframe.workload.views import SCHEMAS
+
+    def table(name, rows, columns):
+        given = spark.createDataFrame(rows, columns)
+        full = [(f"`{c}`" if c in given.columns else f"CAST(NULL AS {kind})") + f" AS `{c}`"
+                for c, kind in (field.split(" ") for field in SCHEMAS[name].split(", "))]
+        given.selectExpr(*full).write.parquet(f"{folder}/{name}.parquet")
+
+    table("supplier", [(i, i % 25) for i in range(150)], "s_suppkey bigint, s_nationkey int")
+    table("part", [(j, j % 50) for j in range(400)], "p_partkey bigint, p_size int")
+    table("lineitem", [(datetime(2001, 11, 30),)], "l_shipdate timestamp_ntz")
+    want = sorted(QUERIES[query](spark, folder).collect())
+    assert len(want) == {"random_coo": 600, "random_tensor": 996}[query]
+
+    small_blocks(monkeypatch, 100)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES[query](spark, folder)
+        assert sorted(df.collect()) == want
+        assert not re.findall(r"Join \[i?[01ij]#", df._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize("few_values", [0, 45, 1000])
+def test_generated_cells_beside_vectors(spark, monkeypatch, few_values):
+    """Looked up in blocks or joined: gaps, nulls, entries outside, and repeated entries, which are joined."""
+    small_blocks(monkeypatch, few_values)
+    made = cf.random_coo(spark, 40, 50, 0.4, seed=9).df.collect()
+    assert len(made) == 800
+
+    def vector(entries, length):
+        return cf.Vector(spark.createDataFrame(entries, "i bigint, v double"), length)
+
+    rows = [(i, None if i % 7 == 0 else float(i)) for i in range(0, 40, 3)] + [(None, 1.0), (None, 2.0), (-1, 3.0), (99, 4.0)]
+    columns = [(j, j / 2) for j in range(50) if not 16 <= j < 32 and j != 48] + [(None, None)]
+    for repeated in ([], [(3, 5.0), (3, 5.0)]):
+        beside = {"i": ("a", vector(rows + repeated, 40)), "j": ("b", vector(columns, 50))}
+        found = cf.random_coo(spark, 40, 50, 0.4, seed=9, known=beside).df
+        assert found.dtypes == [("i", "bigint"), ("j", "bigint"), ("v", "double"), ("a", "double"), ("b", "double")]
+        want = [(r.i, r.j, r.v, a, b) for r in made for i, a in rows + repeated if i == r.i for j, b in columns if j == r.j]
+        assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, want)) and want
+    t = cf.random_tensor(spark, (40, 5, 50), 0.05, seed=2)
+    beside = {"i2": ("b", vector(columns, 50)), "i0": ("a", vector(rows, 40))}
+    found = cf.random_tensor(spark, (40, 5, 50), 0.05, seed=2, known=beside).df
+    want = [(*r, b, a) for r in t.df.collect() for i, a in rows if i == r.i0 for j, b in columns if j == r.i2]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, want)) and want
+
+
 @pytest.mark.parametrize("lookup", [1 << 20, 0])
 @pytest.mark.parametrize("max_cells", [1_000_000, 100])
 @pytest.mark.parametrize("dense", [True, False])

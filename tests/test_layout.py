@@ -131,7 +131,7 @@ def small_blocks(monkeypatch, few_values):
         monkeypatch.setattr(lookup, name, value, raising=False)
 
 
-@pytest.mark.parametrize("query", ["random_tensor"])
+@pytest.mark.parametrize("query", ["random_coo", "random_tensor"])
 def test_generated_cells_are_not_moved(spark, monkeypatch, folder, query):
     """Where Spark broadcasts no table, it moved every cell to its supplier and part."""
     from cellframe.workload.queries import QUERIES
